@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = datetime(2024, 1, 31)
@@ -19,49 +19,32 @@ TTL_RULES = [
 VENDOR = "acme"
 
 
-def _tag(name: str, every: int) -> Column:
-    return F.when(F.col("event_id") % every == 0, name)
-
-
-def _pick(key: Column, *names: str) -> Column:
-    return F.get(F.array(*[F.lit(n) for n in names]), (key % len(names)).cast("int"))
+_TRACE_COLUMNS = [
+    "event_id AS trace_id",
+    "user_id % 6 AS project_id",
+    "concat('proj', user_id % 6) AS project",
+    "event_type AS name",
+    "ts AS start_time",
+    "value AS duration_ms",
+    "value / 10000 AS cost",
+    "user_id * 100 + day(ts) AS thread_id",
+    """array_compact(array(if(event_id % 3 = 0, 'governance', null), if(event_id % 5 = 0, 'sensitive', null),
+      if(event_id % 7 = 0, 'PII', null), if(event_id % 4 = 0, 'internal', null))) AS tags""",
+    "map('prompt_tokens', bigint(k * 10), 'completion_tokens', bigint(k)) AS usage",
+    "k >= 95 AS guardrail_failed",
+    """map('env', get(array('prod', 'staging', 'dev'), int(user_id % 3)),
+      'risk_tier', if(event_id % 11 <> 0, get(array('high', 'medium', 'low'), int(k % 3)), null),
+      'business_unit', get(array('retail', 'commercial', 'wealth'), int(event_id % 3))) AS metadata""",
+    """map('hallucination_rate', k / 100, 'response_quality', if(event_id % 10 <> 0, 1 - value / 500, null),
+      'regulatory_compliance', if(event_id % 4 <> 1, (100 - k) / 100, null), 'cost_usd', value / 10000) AS scores""",
+    "to_json(named_struct('question', event_type, 'expected', 'purchase')) AS input",
+    "to_json(named_struct('output', if(k < 50, event_type, 'purchase'))) AS output",
+]
 
 
 def as_traces(events: DataFrame) -> DataFrame:
     """Traces from events; a projection, so it is the same for a table and a stream."""
-    event, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    shaped = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    k = F.col("k")
-    return shaped.select(
-        event.alias("trace_id"),
-        (user % 6).alias("project_id"),
-        F.concat(F.lit("proj"), user % 6).alias("project"),
-        F.col("event_type").alias("name"),
-        F.col("ts").alias("start_time"),
-        value.alias("duration_ms"),
-        (value / 10000).alias("cost"),
-        (user * 100 + F.day("ts")).alias("thread_id"),
-        F.array_compact(
-            F.array(_tag("governance", 3), _tag("sensitive", 5), _tag("PII", 7), _tag("internal", 4))
-        ).alias("tags"),
-        F.create_map(
-            F.lit("prompt_tokens"), (k * 10).cast("long"), F.lit("completion_tokens"), k.cast("long")
-        ).alias("usage"),
-        (k >= 95).alias("guardrail_failed"),
-        F.create_map(
-            F.lit("env"), _pick(user, "prod", "staging", "dev"),
-            F.lit("risk_tier"), F.when(event % 11 != 0, _pick(k, "high", "medium", "low")),
-            F.lit("business_unit"), _pick(event, "retail", "commercial", "wealth"),
-        ).alias("metadata"),
-        F.create_map(
-            F.lit("hallucination_rate"), k / 100,
-            F.lit("response_quality"), F.when(event % 10 != 0, 1 - value / 500),
-            F.lit("regulatory_compliance"), F.when(event % 4 != 1, (100 - k) / 100),
-            F.lit("cost_usd"), value / 10000,
-        ).alias("scores"),
-        F.to_json(F.struct(F.col("event_type").alias("question"), F.lit("purchase").alias("expected"))).alias("input"),
-        F.to_json(F.struct(F.when(k < 50, F.col("event_type")).otherwise("purchase").alias("output"))).alias("output"),
-    )
+    return events.selectExpr("*", "int(get_json_object(props, '$.k')) AS k").selectExpr(*_TRACE_COLUMNS)
 
 
 class Tables:

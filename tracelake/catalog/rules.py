@@ -83,8 +83,8 @@ def rule_errors(t: Tables) -> DataFrame:
 
 @query(
     "rules_upsert",
-    """SELECT 'r' || s_suppkey AS rule_id, s_name AS name, CASE WHEN s_acctbal < 0 THEN 0.5 ELSE 1.0 END::DOUBLE AS sampling_rate, true AS enabled FROM supplier
-    UNION ALL SELECT 'new' || s_suppkey, NULL, 0.5, NULL FROM supplier WHERE s_acctbal < 0""",
+    """SELECT 'r' || s_suppkey AS rule_id, s_name AS name, CASE WHEN s_acctbal < 0 THEN 0.5 ELSE 1.0 END::DOUBLE AS sampling_rate, 'true' AS enabled FROM supplier
+    UNION ALL SELECT 'new' || s_suppkey, NULL, 0.5, 'unset' FROM supplier WHERE s_acctbal < 0""",
 )
 def rules_upsert(t: Tables) -> DataFrame:
     base = t.table("supplier").select(
@@ -93,13 +93,14 @@ def rules_upsert(t: Tables) -> DataFrame:
     poor = t.table("supplier").where("s_acctbal < 0")
     ids = [F.concat(F.lit(p), "s_suppkey") for p in ("r", "new")]
     changes = poor.select(F.explode(F.array(*ids)).alias("rule_id"), F.lit(0.5).alias("sampling_rate"))
-    return rules.rules_upsert(base, changes)
+    return rules.rules_upsert(base, changes).withColumn("enabled", F.coalesce(F.col("enabled").cast("string"), F.lit("unset")))
 
 
 @query(
     "stream_daily",
-    """SELECT project, date_trunc('day', start_time)::TIMESTAMP AS start, count(*) AS traces, round(avg(cost) + 1e-9, 6) AS mean FROM traces
-      GROUP BY 1, 2 HAVING date_trunc('day', start_time) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+    """SELECT project, start, count(*) AS traces, round(avg(cost) + 1e-9, 6) AS mean FROM (
+        SELECT *, date_trunc('day', start_time)::TIMESTAMP AS start FROM traces)
+      WHERE start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2""",
     ("traces",),
 )
 def stream_daily(t: Tables) -> DataFrame:

@@ -116,7 +116,7 @@ def map_span_attributes(attributes: Column, vendor: str) -> dict[str, Column]:
         "provider": attributes[PROVIDER_ATTRIBUTE],
         "usage": usage,
         "cost": attributes[COST_ATTRIBUTE].try_cast("double"),
-        "metadata": merge_metadata(described, _starting(attributes, f"{vendor}.metadata.")),
+        "metadata": F.map_concat(described, _starting(attributes, f"{vendor}.metadata.")),
         "tags": F.from_json(attributes[f"{vendor}.tags"], "array<string>"),
         "input": _side(attributes, "input"),
         "output": _side(attributes, "output"),

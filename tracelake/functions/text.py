@@ -102,11 +102,12 @@ def split_items(text: Column) -> Column:
 
 
 def word_chunks(text: Column, size: int = 500) -> Column:
-    """Array of chunks of ``size`` words, each joined by single spaces; the whole text is covered."""
-    tokens = words(text)
-    count = F.ceil(F.size(tokens) / F.lit(size)).cast("int")
-    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i * size + 1, F.lit(size)), " "))
+    """Array of chunks of ``size`` words, each joined by single spaces; the whole text is covered.
+
+    The chunks are cut by one pattern, so no array of single words is built. Possessive quantifiers never backtrack.
+    """
+    runs = F.regexp_extract_all(text, F.lit(rf"((?:\S++\s*+){{1,{size}}})"), 1)
+    return F.transform(runs, lambda run: F.rtrim(F.regexp_replace(run, r"\s+", " ")))
 
 
 def ellipsis(text: Column, length: int, only_if_longer: bool) -> Column:

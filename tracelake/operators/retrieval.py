@@ -103,7 +103,7 @@ def _block_hits(
 ) -> DataFrame:
     rows = queries.select(query_id, "embedding").take(block)
     names = np.array([r[0] for r in rows], dtype=object)
-    matrix = np.array([r[1] for r in rows], dtype="float64").reshape(len(rows), -1)
+    matrix = np.array([r[1] for r in rows], dtype="float64").reshape(len(rows), len(rows[0][1]) if rows else 0)
     with np.errstate(invalid="ignore", divide="ignore"):
         matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
     shared = queries.sparkSession.sparkContext.broadcast((names, matrix))

@@ -19,9 +19,19 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Settings that can only be given when the session is made: without them every Column call also records its call site.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 _LOCAL_DIRS: dict[str, str] = {}
 
 
+def start(builder: SparkSession.Builder) -> SparkSession:
+    """Session of a builder with all settings of this package."""
+    for key, value in {**START_SETTINGS, **SETTINGS}.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every operator here relies on."""
     for key, value in SETTINGS.items():
