@@ -9,7 +9,7 @@ from tracelake.catalog.rules import METRICS
 from tracelake.functions import documents as J
 from tracelake.functions.text import render_braces, render_mustache
 from tracelake.operators import rules as R
-from tracelake.operators.threads import combine_parts, thread_parts
+from tracelake.operators.threads import SESSION_COLUMNS, combine_parts, sessions_by, thread_parts, thread_sessions
 from tracelake.streaming import arrivals as A
 
 
@@ -160,9 +160,12 @@ def test_assignment_is_idempotent(spark, items, tmp_path):
 
 
 def test_sessions_split_at_gaps(spark):
-    start = datetime(2026, 7, 1)
-    df = spark.createDataFrame([("t", start + timedelta(minutes=m)) for m in (0, 10, 100, 105)], "thread_id string, start_time timestamp")
-    assert rows(A.thread_sessions(df), "traces") == [(2,), (2,)]
+    start = datetime(2026, 7, 1, 23)
+    minutes = {"t": (0, 10, 50, 65, 80, 200, 240), "u": tuple(range(0, 4000, 29)), "v": (0, 30)}
+    df = spark.createDataFrame([(k, start + timedelta(minutes=m)) for k, ms in minutes.items() for m in ms], "thread_id string, start_time timestamp")
+    found = thread_sessions(df)
+    assert rows(found, "thread_id", "traces") == [("t", 1), ("t", 1), ("t", 2), ("t", 3), ("u", 138), ("v", 2)]
+    assert rows(found) == rows(sessions_by(df, ["thread_id"], "30 minutes").select(*SESSION_COLUMNS))
 
 
 def test_thread_parts_cover_everything_in_order(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tracelake.catalog.bindings import Tables
 from tracelake.catalog.registry import query
 from tracelake.functions import scoring
-from tracelake.operators import rules
+from tracelake.operators import rules, threads
 from tracelake.operators.metrics import MetricSpec
 from tracelake.streaming import arrivals
 
@@ -130,7 +130,7 @@ def stream_dedup(t: Tables) -> DataFrame:
 SESSIONS = """
     sessions AS (SELECT thread_id, min(start_time) AS start, max(start_time) + INTERVAL 30 MINUTE AS "end", count(*) AS traces FROM (
       SELECT thread_id, start_time, sum(fresh) OVER (PARTITION BY thread_id ORDER BY start_time, trace_id ROWS UNBOUNDED PRECEDING) AS n FROM (
-        SELECT *, CASE WHEN start_time >= lag(start_time) OVER (PARTITION BY thread_id ORDER BY start_time, trace_id) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh
+        SELECT *, CASE WHEN start_time > lag(start_time) OVER (PARTITION BY thread_id ORDER BY start_time, trace_id) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh
         FROM traces)) GROUP BY thread_id, n)"""
 
 
@@ -140,7 +140,7 @@ def _session_columns(df: DataFrame) -> DataFrame:
 
 @query("thread_sessions", f"WITH {SESSIONS} SELECT * FROM sessions", ("traces",))
 def thread_sessions(t: Tables) -> DataFrame:
-    return _session_columns(arrivals.thread_sessions(t.traces))
+    return _session_columns(threads.thread_sessions(t.traces))
 
 
 @query(
@@ -149,7 +149,7 @@ def thread_sessions(t: Tables) -> DataFrame:
     ("traces",),
 )
 def stream_sessions(t: Tables) -> DataFrame:
-    return _session_columns(arrivals.run_available(arrivals.thread_sessions(t.trace_stream), "sessions"))
+    return _session_columns(arrivals.run_available(arrivals.session_stream(t.trace_stream), "sessions"))
 
 
 @query("stream_assign", "SELECT 'review' AS queue, trace_id FROM traces WHERE q < 0.6", ("traces",))

@@ -73,16 +73,22 @@ def meta_errors() -> Column:
 
 
 def readme_errors(product: str) -> Column:
-    sections = text.markdown_sections(F.col("readme"))
-    found = []
-    for name in required_sections(product):
-        body = F.try_element_at(sections, F.lit(name))
-        found.append(
-            F.when(body.isNull(), F.lit(f"missing section '{name}'")).when(
-                text.is_placeholder(body), F.lit(f"section '{name}' is empty or a placeholder")
+    """Required sections that are missing or unfinished. The sections are bound as a lambda variable, so that the text
+    is split once and not once per section."""
+
+    def check(sections: Column) -> Column:
+        found = []
+        for name in required_sections(product):
+            body = F.try_element_at(sections, F.lit(name))
+            found.append(
+                F.when(body.isNull(), F.lit(f"missing section '{name}'")).when(
+                    text.is_placeholder(body), F.lit(f"section '{name}' is empty or a placeholder")
+                )
             )
-        )
-    return F.when(F.col("readme").isNull(), F.array(F.lit("missing README"))).otherwise(_list(*found))
+        return _list(*found)
+
+    errors = F.flatten(F.transform(F.array(text.markdown_sections(F.col("readme"))), check))
+    return F.when(F.col("readme").isNull(), F.array(F.lit("missing README"))).otherwise(errors)
 
 
 def proof_errors(product: str) -> Column:

@@ -1,13 +1,45 @@
-"""Conversation threads as ordered, bounded parts for judging."""
+"""Conversation threads: sessions, and ordered, bounded parts for judging."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.distribution import ordered_total
 
 
+SESSION_COLUMNS = ["thread_id", "start", "end", "traces", "first", "last"]
+
+
+def sessions_by(traces: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
+    grouped = traces.groupBy(*keys, F.session_window("start_time", gap).alias("session"))
+    facts = grouped.agg(F.count("*").alias("traces"), F.min("start_time").alias("first"), F.max("start_time").alias("last"))
+    return facts.select(*keys, F.col("session.start").alias("start"), F.col("session.end").alias("end"), "traces", "first", "last")
+
+
+def thread_sessions(traces: DataFrame, gap: str = "30 minutes", part: str = "day") -> DataFrame:
+    """Sessions of stored threads: traces at most ``gap`` apart.
+
+    Sessions are found within calendar parts first, so one huge thread is spread over its parts. Only the first and last
+    session of a part can go on in the next one; these few are joined up per thread.
+    """
+    keys = ["thread_id", "__part"]
+    cut = traces.withColumn("__part", F.date_trunc(part, "start_time"))
+    inside = Window.partitionBy(*keys)
+    found = sessions_by(cut, keys, gap).withColumn(
+        "__edge", (F.col("first") == F.min("first").over(inside)) | (F.col("last") == F.max("last").over(inside))
+    )
+    by_time = Window.partitionBy("thread_id").orderBy("first")
+    edges = found.where("__edge").withColumn("__fresh", F.coalesce(F.col("first") > F.lag("end").over(by_time), F.lit(True)).cast("int"))
+    numbered = edges.withColumn("__n", F.sum("__fresh").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = numbered.groupBy("thread_id", "__n").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("traces").alias("traces"), F.min("first").alias("first"), F.max("last").alias("last")
+    )
+    return found.where("not __edge").select(*SESSION_COLUMNS).unionByName(joined.select(*SESSION_COLUMNS))
+
+
 def thread_parts(
     turns: DataFrame, thread: str = "thread_id", order: str = "turn", text: str = "text", size: int = 200
 ) -> DataFrame:

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -9,11 +9,10 @@ from tracelake.operators.tables import latest_by
 
 
 def ingest_traces(traces: DataFrame, path: str) -> None:
-    """Append traces by project and day. Rows are first brought together by project, day and a slice of the id, so a
-    large project is written by several tasks and no task opens a file in every folder."""
+    """Append traces by project and day. Rebalancing brings the rows of a folder together, splits a large one over
+    several tasks by its measured size and merges small ones, so that files come out well sized."""
     dated = traces.withColumn("date", F.to_date("start_time"))
-    piece = F.pmod(F.xxhash64("trace_id"), F.lit(16))
-    dated.repartition("project", "date", piece).write.mode("append").partitionBy("project", "date").parquet(path)
+    dated.hint("rebalance", "project", "date").write.mode("append").partitionBy("project", "date").parquet(path)
 
 
 def write_stats(daily: DataFrame, monthly: DataFrame, summary: DataFrame, folder: str) -> None:

@@ -15,6 +15,7 @@ from tracelake import schemas
 from tracelake.operators.filters import traces_of_yesterday
 from tracelake.operators.metrics import MetricSpec
 from tracelake.operators.rules import score_items
+from tracelake.operators.threads import SESSION_COLUMNS, sessions_by
 from tracelake.session import scratch_path
 
 
@@ -74,17 +75,13 @@ def _windowed(stream: DataFrame, window: Column, value: str, parts: bool = False
     )
 
 
-def thread_sessions(traces: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
-    """Sessions of a thread: traces without a gap between them. Works on a stream or a table.
+def session_stream(stream: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
+    """Closed sessions of arriving threads.
 
     A session is kept as its bounds and size only, so the state of a long conversation does not grow with it; the text
     of a closed session is read from the trace table by ``thread_parts``.
     """
-    timed = event_time(traces, watermark) if traces.isStreaming else traces
-    grouped = timed.groupBy("thread_id", F.session_window("start_time", gap).alias("session"))
-    return grouped.agg(F.count("*").alias("traces"), F.min("start_time").alias("first"), F.max("start_time").alias("last")).select(
-        "thread_id", F.col("session.start").alias("start"), F.col("session.end").alias("end"), "traces", "first", "last"
-    )
+    return sessions_by(event_time(stream, watermark), ["thread_id"], gap).select(*SESSION_COLUMNS)
 
 
 def enqueue_stream(stream: DataFrame, queue: str, predicate: Column) -> DataFrame:
