@@ -24,10 +24,20 @@ def skewed(spark):
 
 def test_ordered_index_equals_row_number(skewed):
     indexed = D.ordered_total(skewed, F.col("ts"), ["id"], "n", ["g"], splits=16)
-    expected = skewed.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("ts", "id")) - 1)
+    digest = F.md5(F.col("id").cast("string"))
+    expected = skewed.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("ts", digest, "id")) - 1)
     assert rows(indexed, "id", "n") == rows(expected, "id", "n")
 
 
+def test_a_frequent_order_value_is_split(skewed):
+    same = skewed.withColumn("v", F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("v")))
+    indexed = D.ordered_total(same, F.col("v"), ["id"], "n", splits=16)
+    digest = F.md5(F.col("id").cast("string"))
+    expected = same.withColumn("n", F.row_number().over(Window.orderBy("v", digest, "id")) - 1)
+    assert rows(indexed, "id", "n") == rows(expected, "id", "n")
+    assert "substring(__digest" in indexed._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_running_weight(skewed):
     total = D.ordered_total(skewed, F.col("id"), [], "before", weight=F.col("v"))
     found = {r.id: r.before for r in total.collect()}
@@ -55,6 +65,7 @@ def test_joins_with_hot_keys(spark, skewed):
     assert rows(D.heavy_join(skewed, dim, "g", "left", "id", parts=3), "id", "w") == rows(plain, "id", "w")
     assert rows(D.heavy_join(skewed, dim, "g", "inner", "id", parts=3), "id", "w") == rows(skewed.join(dim, "g"), "id", "w")
     assert rows(D.heavy_keys(skewed, "g", 2)) == [("hot",)]
+    assert D.heavy_keys(skewed.withColumn("g", F.lit(None).cast("string")), "g").isEmpty()
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 BUCKET = "__bucket"
 SALT = "__salt"
 
+# Salts for rows that cannot match: no copy of the other side has to meet them, so they may spread as far as they like.
+FREE_SALTS = 1 << 20
+
 
 def seeded_key(id_col: str | Column, seed: str | int) -> Column:
     """Hex digest that orders rows in a reproducible shuffle; equal ids always get equal keys."""
@@ -62,33 +65,47 @@ def ordered_total(
     """Exclusive running total in the order of a numeric or time column; with no weight, a dense 0-based index.
 
     Quantile cut points (``splits`` numbers) make the buckets. They are taken over all rows, so a group that holds a
-    third of the rows is spread over about a third of the buckets.
+    third of the rows is spread over about a third of the buckets. Rows of one order value follow each other by the
+    digest of their ``ties``; a value so frequent that it fills whole buckets is split further by that digest.
     """
-    value = order.cast("double")
-    if df.select(order.alias("o")).schema["o"].dataType.typeName() in ("timestamp", "timestamp_ntz"):
-        value = F.unix_micros(order.cast("timestamp")).cast("double")
+    timed = df.select(order.alias("o")).schema["o"].dataType.typeName() in ("timestamp", "timestamp_ntz")
+    value = F.unix_micros(order.cast("timestamp")) if timed else order
     shares = [i / splits for i in range(1, splits)]
-    cuts = df.agg(F.percentile_approx(value, F.array(*[F.lit(s) for s in shares]), 10 * splits)).first()[0] or []
-    cuts = sorted(set(cuts))
+    marks = df.agg(F.percentile_approx(value, F.array(*[F.lit(s) for s in shares]), 10 * splits)).first()[0] or []
+    cuts = sorted(set(marks))
+    frequent = [c for c in cuts if marks.count(c) > 1]
     bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < value)) if cuts else F.lit(0)
     step = F.lit(1).cast("long") if weight is None else weight
-    return _running(df, bucket, [order, *[F.col(t) for t in ties]], step, group, out)
+    if not ties:
+        return _running(df, bucket, [order], step, group, out)
+    digest = F.md5(F.concat_ws(":", *[F.col(t).cast("string") for t in ties]))
+    keyed = df.withColumn("__digest", digest)
+    piece = F.when(value.isin(frequent), F.substring("__digest", 1, 2)).otherwise("") if frequent else F.lit("")
+    ordered = [order, F.col("__digest"), *[F.col(t) for t in ties]]
+    return _running(keyed, F.struct(bucket.alias("i"), piece.alias("piece")), ordered, step, group, out).drop("__digest")
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, spread_by: str, salts: int = 8) -> DataFrame:
     """Equi join of a fact table with a keyed table, with each key split over ``salts`` tasks.
 
     Only the keyed table is repeated. No broadcast is forced: Catalyst broadcasts it when its measured size allows.
+    Where it does not, a key so hot that even a salt of it is too large is split on by adaptive skew handling. Rows
+    without a key are spread freely.
     """
     copies = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = left.withColumn(SALT, F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)).cast("int"))
+    keyless = _any([F.col(k).isNull() for k in on])
+    salted = left.withColumn(SALT, _salt(spread_by, F.when(keyless, FREE_SALTS).otherwise(salts)))
     return salted.join(copies, [*on, SALT], how).drop(SALT)
 
 
+def _salt(spread_by: str, salts: Column) -> Column:
+    return F.pmod(F.xxhash64(F.col(spread_by)), salts).cast("int")
+
+
 def heavy_keys(df: DataFrame, key: str, parts: int = 1000) -> DataFrame:
     """Keys that hold at least ``1 / parts`` of the rows; at most ``parts`` of them can exist."""
     total = df.count()
-    return df.groupBy(key).count().where(F.col("count") >= max(2, -(-total // parts))).select(key)
+    return df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") >= max(2, -(-total // parts))).select(key)
 
 
 def heavy_join(left: DataFrame, right: DataFrame, key: str, how: str, spread_by: str, salts: int = 16, parts: int = 1000) -> DataFrame:
@@ -98,9 +115,8 @@ def heavy_join(left: DataFrame, right: DataFrame, key: str, how: str, spread_by:
     """
     hot = F.broadcast(heavy_keys(left, key, parts).withColumn("__hot", F.lit(True)))
     flag = F.coalesce(F.col("__hot"), F.lit(False))
-    salted = left.join(hot, key, "left").withColumn(
-        SALT, F.when(flag, F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)).cast("int")).otherwise(0)
-    )
+    spread = F.when(F.col(key).isNull(), FREE_SALTS).when(flag, salts).otherwise(1)
+    salted = left.join(hot, key, "left").withColumn(SALT, _salt(spread_by, spread))
     copies = right.join(hot, key, "left").withColumn(
         SALT, F.explode(F.when(flag, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
     )

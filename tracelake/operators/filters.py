@@ -55,16 +55,10 @@ class TraceFilter:
         return df.where(self.to_column(df))
 
     def describe(self) -> str:
-        parts = []
-        if self.before is not None:
-            parts.append(f"before {self.before.date()}")
-        if self.after is not None:
-            parts.append(f"after {self.after.date()}")
-        if self.tags:
-            parts.append(f"tags: {list(self.tags)}")
-        if self.exclude_tags:
-            parts.append(f"exclude tags: {list(self.exclude_tags)}")
-        return " | ".join(parts) or "(no filters)"
+        days = {"before": self.before, "after": self.after}
+        lists = {"tags:": self.tags, "exclude tags:": self.exclude_tags}
+        shown = {k: v.date() for k, v in days.items() if v} | {k: list(v) for k, v in lists.items() if v}
+        return " | ".join(f"{label} {value}" for label, value in shown.items()) or "(no filters)"
 
 
 def predicate(df: DataFrame, field: str, operator: str, value: object, key: str | None = None) -> Column:

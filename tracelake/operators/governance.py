@@ -39,6 +39,7 @@ EXPECTED_SCORES = [
     "cost_per_quality_unit",
 ]
 
+# The derived scores and the reason written with each.
 DERIVED_REASONS = {
     "composite_risk_score": "0.5×compliance + 0.3×(1−hallucination) + 0.2×quality",
     "oversight_risk_flag": f"1.0 = composite_risk_score < {scoring.RISK_THRESHOLD}",

@@ -200,9 +200,10 @@ def batch_ids(ids: DataFrame, id_col: str = "trace_id", group: Sequence[str] = (
 def delete_audit(traces: DataFrame, expanded: Sequence[RetentionRule], dry_run: bool = False, size: int = DELETE_BATCH) -> DataFrame:
     """Batched list of what is deleted. A real run removes a trace with its first rule; a dry run lists it under each."""
     matches = match_rules(traces, expanded).select("project", "trace_id", "rule_no", "label")
-    if not dry_run:
-        first = F.min(F.struct("rule_no", "label")).alias("first")
-        matches = matches.groupBy("project", "trace_id").agg(first).select("project", "trace_id", "first.*")
+    if not dry_run and expanded:
+        labels = F.array(*[F.lit(r.label) for r in expanded])
+        first = matches.groupBy("project", "trace_id").agg(F.min("rule_no").alias("rule_no"))
+        matches = first.withColumn("label", F.get(labels, F.col("rule_no")))
     return batch_ids(matches, group=["project", "rule_no"], size=size)
 
 
