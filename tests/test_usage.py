@@ -100,6 +100,12 @@ def test_daily_metrics_and_snapshot(spark):
     assert snap == {"TRACE_COUNT": 3.0, "THREAD_COUNT": 1.0, "TOKENS_TOTAL": 27.0, "TOTAL_COST": 0.75, "GUARDRAILS_FAILED_COUNT": 1.0}
 
 
+def test_window_ends_at_a_time_of_day(spark):
+    traces = _traces(spark)
+    counted = U.daily_metrics(traces, metrics=["TRACE_COUNT"], start=datetime(2026, 7, 1, 10), end=datetime(2026, 7, 1, 23))
+    assert rows(counted, "date", "value") == [(date(2026, 7, 1), 2.0)]
+
+
 def test_report_files(spark, tmp_path):
     traces = _traces(spark).where("project is not null")
     run_usage_report(traces, traces.select("project_id", "project", "start_time"), "w", date(2026, 7, 3), str(tmp_path))

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracelake.session import materialise
+
 BUCKET = "__bucket"
 SALT = "__salt"
 
@@ -127,9 +129,11 @@ def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, shares: S
     """Exact percentiles with linear interpolation, one ``p<share>`` column each.
 
     The built-in exact aggregate keeps a whole group's values in one task. Here values are counted first (map-side
-    combine), ranked through buckets, and only the rows around each wanted rank are brought together.
+    combine), ranked through buckets, and only the rows around each wanted rank are brought together. The counts are
+    written once, since cut points, ranks and sizes all need them.
     """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("__n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("__n"))
+    counted = materialise(counts, "counts")
     ranked = ordered_total(counted, F.col(value), [], "__start", group, F.col("__n"))
     sizes = counted.groupBy(*group).agg(F.sum("__n").alias("__size"))
     key = F.struct(*[F.col(g) for g in group])

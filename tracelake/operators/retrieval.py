@@ -37,9 +37,10 @@ def chunk(docs: DataFrame, size: int = CHUNK_WORDS, text: str = "text") -> DataF
 def number_chunks(docs: DataFrame, size: int = CHUNK_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Chunks with a dense global id ``doc_<n>`` in document order.
 
-    Documents learn the number of their first chunk from a running total, so chunks are never sorted globally.
+    Documents learn the number of their first chunk from a running total, so chunks are never sorted globally. The sizes
+    are written first: they are narrow, and the texts are then counted only once.
     """
-    sizes = docs.select(key, F.ceil(word_count(F.col(text)) / F.lit(size)).alias("chunks"))
+    sizes = materialise(docs.select(key, F.ceil(word_count(F.col(text)) / F.lit(size)).alias("chunks")), "sizes")
     first = ordered_total(sizes, F.col(key), [], "first", weight=F.col("chunks")).select(key, "first")
     numbered = chunk(docs.select(key, text), size, text).join(first, key)
     position = F.col("first") + F.col("chunk_no")

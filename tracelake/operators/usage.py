@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.distribution import exact_percentiles
-from tracelake.functions.dates import bucket, day_label, latency_ms
+from tracelake.functions.dates import bucket, day_label, latency_ms, moment
 from tracelake.functions.text import format_amount, format_metric
 
 # Metric names, in report order.
@@ -34,11 +34,13 @@ def with_project_name(df: DataFrame, projects: DataFrame) -> DataFrame:
     return df.join(names, "project_id", "left").withColumn("project", F.coalesce("project", F.lit(UNKNOWN_PROJECT)))
 
 
-def _in_window(df: DataFrame, start: date | None, end: date | None) -> DataFrame:
+def _in_window(df: DataFrame, start: date | datetime | None, end: date | datetime | None) -> DataFrame:
+    kind = df.schema["start_time"].dataType
+    bounds = [moment(b, kind) if isinstance(b, datetime) else F.lit(b) for b in (start, end)]
     if start is not None:
-        df = df.where(F.col("start_time") >= F.lit(start))
+        df = df.where(F.col("start_time") >= bounds[0])
     if end is not None:
-        df = df.where(F.col("start_time") <= F.lit(end))
+        df = df.where(F.col("start_time") <= bounds[1])
     return df.where(F.col("project_id").isNotNull())
 
 
@@ -46,8 +48,8 @@ def daily_metrics(
     traces: DataFrame,
     spans: DataFrame | None = None,
     metrics: list[str] | None = None,
-    start: date | None = None,
-    end: date | None = None,
+    start: date | datetime | None = None,
+    end: date | datetime | None = None,
     workspace: str = "default",
 ) -> DataFrame:
     """Long daily frame. One pass over the traces serves every per-trace metric; usage types are exploded in a second.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 
@@ -13,7 +13,7 @@ from tracelake.sources.writers import write_stats
 WINDOW_DAYS = 30
 
 
-def run_usage_report(traces: DataFrame, spans: DataFrame, workspace: str, end: date, folder: str | None = None) -> dict[str, DataFrame]:
+def run_usage_report(traces: DataFrame, spans: DataFrame, workspace: str, end: date | datetime, folder: str | None = None) -> dict[str, DataFrame]:
     daily = daily_metrics(traces, spans, start=end - timedelta(days=WINDOW_DAYS), end=end, workspace=workspace)
     summary = snapshot(traces)
     if folder is not None:
