@@ -42,6 +42,15 @@ def test_topk_equals_brute_force(vectors):
         assert [f[2] for f in found] == [pytest.approx(e[2]) for e in expected]
 
 
+def test_topk_in_small_slices_and_with_copies(spark, vectors, monkeypatch):
+    queries, corpus, q, c = vectors
+    monkeypatch.setattr(V, "SCORE_CELLS", 20)
+    copies = corpus + [(1000 + i, [1.0, 1.0, 1.0]) for i in range(60)]
+    frame = spark.createDataFrame(copies, "id long, embedding array<double>").repartition(3)
+    found = sorted(((r.query_id, r.id, r["rank"]) for r in V.topk_similar(q, frame, 7).collect()), key=repr)
+    assert found == [e[:2] + e[3:] for e in brute_force(queries, copies, 7)]
+
+
 def test_topk_edges(spark, vectors):
     _, _, q, c = vectors
     assert V.topk_similar(q, c.limit(0), 3).isEmpty()

@@ -27,6 +27,9 @@ TODAY_CANDIDATES = 20
 # Most query vectors held by a task at once; more are answered in several passes over the corpus.
 QUERY_BLOCK = 4096
 
+# Most scores a task holds at once. Also bounds the candidates when very many corpus rows are copies of each other.
+SCORE_CELLS = 1_000_000
+
 
 def chunk(docs: DataFrame, size: int = CHUNK_WORDS, text: str = "text") -> DataFrame:
     """One row per chunk of ``size`` words, numbered from 0 within the document."""
@@ -114,12 +117,12 @@ def _block_hits(
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, matrix = shared.value
         best = None
+        rows = max(k, SCORE_CELLS // max(len(names), 1))
         for batch in batches:
-            if not len(names) or not len(batch):
-                continue
-            found = _candidates(batch, names, matrix, k, query_id, kept, digits)
-            merged = found if best is None else pd.concat([best, found])
-            best = merged.sort_values(order, ascending=up).groupby(query_id, sort=False).head(k)
+            for start in range(0, len(batch) if len(names) else 0, rows):
+                found = _candidates(batch.iloc[start : start + rows], names, matrix, k, query_id, kept, digits)
+                merged = found if best is None else pd.concat([best, found])
+                best = merged.sort_values(order, ascending=up).groupby(query_id, sort=False).head(k)
         if best is not None:
             yield best[[query_id, *kept, "similarity"]]
 
