@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import small_batches
+from tracelake.llm.common import LOWER, small_batches
 from tracelake.session import materialise
 
 CACHE = "version string, digest string, n_tokens long"
@@ -38,6 +38,7 @@ def word_counter(path: str):
     """Function from a list of texts to their token counts.
 
     No token spans white space, so a text's count is the sum over its words, and a word met before is not encoded again.
+    The tokenizer lower-cases, so A-Z are folded first, but for words that might hold a special string.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -48,7 +49,7 @@ def word_counter(path: str):
     known: dict[bytes, int] = {}
 
     def count(texts: list[str]) -> list[int]:
-        split = [text.encode("utf-8").split() for text in texts]
+        split = [_folded(text.encode("utf-8")).split() for text in texts]
         new = list({word for words in split for word in words if word not in known})
         if len(known) + len(new) > REMEMBERED_WORDS:
             known.clear()
@@ -60,6 +61,10 @@ def word_counter(path: str):
     return count
 
 
+def _folded(text: bytes) -> bytes:
+    return text if b"<|" in text else text.translate(LOWER)
+
+
 def stored_counts(spark: SparkSession, cache: str, version: str) -> DataFrame:
     """Digest and count of one tokenizer version; an absent cache is empty. Rows appended twice count once."""
     try:
