@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import mixing, token_counts, topk_search
+from tracelake.llm import mixing, near_dup, token_counts, topk_search
 from tracelake.llm.common import table
 from tracelake.session import configure, scratch_path
 
@@ -48,6 +48,36 @@ def op2_voronoi_topk(spark, folder):
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("score").cast("long").alias("score"))
 
 
+@query(
+    r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [hash(w[i:i+4]) FOR i IN range(1, len(w) - 3)] WHEN len(w) > 0 THEN [hash(w)] ELSE [] END) AS s FROM worded
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)
+), pairs AS MATERIALIZED (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, b.y FROM reached r JOIN pairs b ON b.x = r.other
+), components AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)
+"""
+)
+def op4_chosen_path_groups(spark, folder):
+    """Near-duplicate groups of all documents."""
+    return near_dup.near_duplicates(table(spark, folder, "documents"))
+
+
 @query(
     r"""
 WITH sized AS (
