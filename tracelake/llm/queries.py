@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import mixing, near_dup, token_counts, topk_search
+from tracelake.llm import mixing, near_dup, quality, token_counts, topk_search, toxicity
 from tracelake.llm.common import table
 from tracelake.session import configure, scratch_path
 
@@ -113,3 +113,15 @@ def op10_token_counts(spark, folder):
     cache = scratch_path(spark, "token-cache")
     counts = token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), cache)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+@query()
+def op5_toxic_spans(spark, folder):
+    """Toxicity of all documents."""
+    return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op7_additive_quality(spark, folder):
+    """Quality of all documents."""
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
