@@ -3,16 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracelake.llm import mixing
+from tracelake.llm import decontamination, mixing, near_dup, quality, toxicity
+from tracelake.llm.common import table
+from tracelake.llm.labelled import SCORE
 from tracelake.session import configure, materialise
 
+#: A document is of quality, or toxic, from this probability on.
+THRESHOLD = 0.3
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.weighted_fair_mix(docs).where("taken > 0")
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model does not reject."""
+    scored = quality.with_quality(docs, table(spark, sf_dir, "labels"))
+    return scored.where(F.col(SCORE) >= THRESHOLD).select(*docs.columns)
 
-STAGES = [("mix", mix)]
+
+def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity field does not reject."""
+    scored = toxicity.with_toxicity(docs, table(spark, sf_dir, "labels"), spans=False)
+    return scored.where(F.col(SCORE) < THRESHOLD).select(*docs.columns)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dup.one_of_each_group(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat no benchmark item."""
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents and how many of their words each pass takes, with their place in it."""
+    return mixing.weighted_fair_mix(docs).where("taken > 0").drop("row")
+
+
+STAGES = [("quality", good), ("toxicity", civil), ("near duplicates", distinct), ("decontamination", clean), ("mixing", mixed)]
+#: Learned models and the join on minwise values are no SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
@@ -20,5 +50,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over the whole of ``documents``; each result is written and read again."""
     docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

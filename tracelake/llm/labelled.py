@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tracelake.session import materialise
+
+SCORE = "__score"
 
 
 def remainder(id_col: str, parts: int):
@@ -20,3 +25,16 @@ def one_label(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFram
 def bounded_sample(rows: DataFrame, label: int, bound: int) -> DataFrame:
     """At most ``bound`` rows of one label, in the order of a digest of their ids."""
     return rows.where(F.col("__label") == label).orderBy(F.xxhash64("__id", F.lit(17)), "__id").limit(bound)
+
+
+def learning_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, parts: int, held: int, bound: int) -> tuple[DataFrame, dict[int, int]]:
+    """``__id`` and ``__label`` of the documents to learn from, at most ``bound`` of each label, and how many each label has."""
+    ids = docs.select(F.col(id_col).alias("__id")).where(remainder("__id", parts) != held).distinct()
+    known = materialise(ids.join(one_label(labels, label, id_col), "__id"), "labelled")
+    counts = {r["__label"]: r["count"] for r in known.groupBy("__label").count().collect()}
+    return materialise(bounded_sample(known, 0, bound).unionByName(bounded_sample(known, 1, bound)), "learning"), counts
+
+
+def with_score(docs: DataFrame) -> T.StructType:
+    """Schema of ``docs`` with a score beside."""
+    return T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())])

@@ -331,6 +331,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of every near-duplicate group, with all its columns: the row of the smallest id, one of them if rows share
+    it. Rows without an id can't be told apart and are all kept.
+
+    Only ids are joined; Catalyst broadcasts the written list of ids to drop where that is small, else it shuffles.
+    """
+    groups = materialise(near_duplicates(docs, id_col, text_col), "dup-result")
+    dropped = groups.where(~F.col("kept")).select(id_col)
+    repeated = materialise(groups.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "dup-repeated")
+    away = materialise(dropped.where(F.col(id_col).isNotNull()).unionByName(repeated).distinct(), "dup-dropped")
+    kept = docs.where(F.col(id_col).isNotNull()).join(away, id_col, "left_anti").select(*docs.columns)
+    again = docs.join(repeated.join(dropped, id_col, "left_anti"), id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col])
+    return kept.unionByName(again).unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def _sets_of(texts: DataFrame, distinct: DataFrame, placed: DataFrame) -> DataFrame:
     """Full set (``items``) of every ``sid`` that shares a node with another."""
     wanted = distinct.join(placed.select("sid").distinct(), "sid", "left_semi").select("sid", "least", "d1", "d2")

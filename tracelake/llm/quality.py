@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.llm.common import small_batches
-from tracelake.llm.labelled import bounded_sample, one_label, remainder
-from tracelake.session import materialise
+from tracelake.llm.labelled import SCORE, learning_sample, remainder, with_score
 
 FEATURES = (
     "log_words", "word_length", "upper_share", "symbol_share", "digit_share", "symbol_word_share", "symbol_tail_share", "repeat_share",
@@ -86,13 +85,7 @@ def text_features(text: str | None) -> list[float]:
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [text_features(t) for t in batch.column("__text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(rows, pa.list_(pa.float64()))], ["__id", "features"])
-
-
-def features_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``__id`` and ``features`` of every row, from its whole text."""
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    return small_batches(texts).mapInArrow(_featured, f"__id {docs.schema[id_col].dataType.simpleString()}, features array<double>")
+        yield pa.RecordBatch.from_arrays([batch.column("__label"), pa.array(rows, pa.list_(pa.float64()))], ["label", "features"])
 
 
 @dataclass
@@ -205,35 +198,44 @@ def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
     return model
 
 
-def _scorer(model: AdditiveModel):
+def _scorer(model: AdditiveModel, text_col: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column("features").flatten().to_numpy().reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(model.score(x))], ["__id", "score"])
+            x = np.array([text_features(t) for t in batch.column(text_col).to_pylist()], float).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], [*batch.schema.names, SCORE])
 
     return score
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", parts: int = 5, held: int = 0) -> DataFrame:
-    """``id_col``, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 from 0.3 on) of every row.
+def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", parts: int = 5, held: int = 0) -> AdditiveModel:
+    """Model of at most ``SAMPLE`` documents of each label, in digest order, none with crc32(id) mod ``parts`` = ``held``.
 
-    The model learns from at most ``SAMPLE`` labelled documents of each label (in digest order), none of which has
-    crc32(id) mod ``parts`` = ``held``; only what the text shows is an input. Null and empty texts get a score too; without
-    labels all scores are 0.5; repeated rows count each; a null id has a null ``held_out``; other columns are ignored.
+    Ids are chosen first, so only the sample's texts become features, and only features reach the driver.
     """
-    featured = materialise(features_of(docs, id_col, text_col), "quality-features")
-    known = featured.where(remainder("__id", parts) != held).join(one_label(labels, label, id_col), "__id")
-    rows = bounded_sample(known, 0, SAMPLE).unionByName(bounded_sample(known, 1, SAMPLE)).select("features", "__label").toPandas()
-    counts = known.groupBy("__label").count().collect()
-    model = fit(np.array(rows["features"].tolist(), float).reshape(len(rows), -1), rows["__label"].to_numpy(float))
-    _restore_balance(model, rows["__label"].to_numpy(float), {r["__label"]: r["count"] for r in counts})
-    scored = featured.mapInArrow(_scorer(model), f"__id {docs.schema[id_col].dataType.simpleString()}, score double")
-    out = remainder("__id", parts) == held
-    return scored.select(F.col("__id").alias(id_col), out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
-
-
-def _restore_balance(model: AdditiveModel, y: np.ndarray, counts: dict[int, int]) -> None:
-    """Shift the intercept from the sample's share of labels to that of all labelled rows."""
-    ones, zeros = y.sum(), len(y) - y.sum()
-    if ones and zeros:
-        model.intercept += float(np.log(counts[1] / counts[0]) - np.log(ones / zeros))
+    chosen, counts = learning_sample(docs, labels, label, id_col, parts, held, SAMPLE)
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    rows = small_batches(texts.join(F.broadcast(chosen), "__id")).select("__label", "__text").mapInArrow(_featured, "label int, features array<double>").toPandas()
+    rows = rows.iloc[np.lexsort(np.array(rows["features"].tolist()).T)] if len(rows) else rows  # no order of tasks in the sums
+    y = rows["label"].to_numpy(float)
+    model = fit(np.array(rows["features"].tolist(), float).reshape(len(rows), -1), y)
+    if 0 < y.sum() < len(y):  # from the sample's share of labels to that of all labelled rows
+        model.intercept += float(np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum())))
+    return model
+
+
+def with_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", parts: int = 5, held: int = 0) -> DataFrame:
+    """``docs`` with the probability of label 1 in column ``SCORE``; no document crosses a shuffle.
+
+    Only what the whole text shows is an input. Null and empty texts get a score too; without labels all scores are 0.5;
+    repeated rows are kept; other columns pass unread, whatever their names.
+    """
+    model = fitted(docs, labels, label, id_col, text_col, parts, held)
+    return small_batches(docs).mapInArrow(_scorer(model, text_col), with_score(docs))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, threshold: float = 0.3, **columns: str) -> DataFrame:
+    """Id, ``held_out`` (the document was kept from learning; null for a null id), ``score`` and ``predicted`` (1 from
+    ``threshold`` on) of every row, as ``with_quality`` finds them."""
+    id_col, text_col = columns.get("id_col", "doc_id"), columns.get("text_col", "text")
+    scored = with_quality(docs.select(id_col, text_col), labels, parts=parts, held=held, **columns)
+    return scored.select(id_col, (remainder(id_col, parts) == held).alias("held_out"), F.col(SCORE).alias("score"), (F.col(SCORE) >= threshold).cast("int").alias("predicted"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import decontamination, mixing, near_dup, quality, token_counts, topk_search, toxicity
+from tracelake.llm import decontamination, html_text, licenses, mixing, near_dup, quality, token_counts, topk_search, toxicity, url_filters
 from tracelake.llm.common import table
 from tracelake.session import configure, scratch_path
 
@@ -170,3 +170,84 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY score DESC, mat
 def op9_spaced_seeds(spark, folder):
     """Benchmark items in all documents."""
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    r"""
+WITH captures AS (
+  SELECT page_id, url, DATE '2023-01-01' + (page_id % 730)::INTEGER AS fetched,
+    lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*?)\.?(?::[0-9]*)?(?:[/?#]|$)', 1)) AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), hosts AS (
+  SELECT DISTINCT host, ('0x' || substr(md5(host), 1, 6))::INTEGER AS k FROM captures WHERE host <> ''
+), entries AS (
+  SELECT 'ads' AS list, 'd:' || host AS key, unnest([DATE '2022-06-01' + (k % 500)::INTEGER, DATE '2022-06-01' + (k % 500 + 40 + k % 300)::INTEGER, DATE '2022-06-01' + (k % 500 + 400)::INTEGER]) AS day,
+    unnest(['add', 'remove', 'add']) AS action FROM hosts WHERE k % 3 = 0
+  UNION ALL
+  SELECT 'malware', 'd:' || regexp_extract(host, '[^.]+\.[^.]+\.[^.]+$'), unnest([DATE '2023-03-01' + (k % 400)::INTEGER, DATE '2023-03-01' + (k % 400 + 60)::INTEGER]), unnest(['add', 'remove']) FROM hosts WHERE k % 5 = 1 AND host SIMILAR TO '.*\..*\..*'
+  UNION ALL
+  SELECT 'mirrors', 'u:' || host || '/en', DATE '2023-01-01' + (k % 600)::INTEGER, 'add' FROM hosts WHERE k % 4 = 1
+), spans AS (
+  SELECT list, key, day AS first, action, lead(day) OVER (PARTITION BY list, key ORDER BY day) AS until FROM (SELECT list, key, day, min(action) AS action FROM entries GROUP BY ALL)
+), labels AS (
+  SELECT page_id, fetched, host, string_split(host, '.') AS l, string_split(regexp_replace(path, '^/|/$', '', 'g'), '/') AS f FROM captures WHERE host <> ''
+), keys AS (
+  SELECT page_id, fetched, 'd:' || array_to_string(l[i:], '.') AS key FROM labels, unnest(range(1, greatest(len(l) - 1, 1) + 1)) AS t(i)
+  UNION
+  SELECT page_id, fetched, 'u:' || host || '/' || array_to_string(f[1:i], '/') FROM labels, unnest(range(1, len(f) + 1)) AS t(i)
+), hits AS (
+  SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) AS lists FROM keys JOIN spans USING (key) WHERE action = 'add' AND first <= fetched AND (until IS NULL OR fetched < until) GROUP BY page_id
+)
+SELECT page_id, lists IS NOT NULL AS blocked, coalesce(lists, '') AS lists FROM captures LEFT JOIN hits USING (page_id)
+"""
+)
+def op1_temporal_lists(spark, folder):
+    """All pages judged by dated lists on the day they were fetched. Both are derived from the pages: the day from the id,
+    the entries (two or three a host, some for its parent domain or a folder) from a digest of the host."""
+    pages = table(spark, folder, "pages")
+    start = F.to_date(F.lit("2023-01-01"))
+    captures = pages.select("page_id", "url", F.date_add(start, (F.col("page_id") % 730).cast("int")).alias("fetched"))
+    hosts = pages.select(url_filters.host_of(F.col("url")).alias("host")).where("host <> ''").distinct()
+    hosts = hosts.withColumn("k", F.conv(F.substring(F.md5("host"), 1, 6), 16, 10).cast("int"))
+    k = F.col("k")
+
+    def dated(name, key, base, *changes):
+        day = F.to_date(F.lit(base))
+        rows = F.array(*[F.struct(F.date_add(day, shift.cast("int")).alias("day"), F.lit(action).alias("action")) for shift, action in changes])
+        return hosts.select(F.lit(name).alias("list"), "k", "host", key.alias("key"), F.explode(rows).alias("e")).select("list", "k", "host", "key", "e.day", "e.action")
+
+    ads = dated("ads", F.concat(F.lit("d:"), "host"), "2022-06-01", (k % 500, "add"), (k % 500 + 40 + k % 300, "remove"), (k % 500 + 400, "add")).where("k % 3 = 0")
+    parent = F.concat(F.lit("d:"), F.regexp_extract("host", r"[^.]+\.[^.]+\.[^.]+$", 0))
+    malware = dated("malware", parent, "2023-03-01", (k % 400, "add"), (k % 400 + 60, "remove")).where("k % 5 = 1 AND size(split(host, '[.]')) > 2")
+    mirrors = dated("mirrors", F.concat(F.lit("u:"), "host", F.lit("/en")), "2023-01-01", (k % 600, "add")).where("k % 4 = 1")
+    entries = ads.unionByName(malware).unionByName(mirrors).select("list", "key", "day", "action")
+    judged = url_filters.filtered(captures, entries, "page_id")
+    return judged.select("page_id", "blocked", F.array_join("lists", ",").alias("lists"))
+
+
+@query()
+def op3_layout_text(spark, folder):
+    """Visible text of all pages."""
+    return html_text.page_texts(table(spark, folder, "pages"))
+
+
+def _canonical_sql() -> str:
+    plain = r"' ' || trim(regexp_replace(regexp_replace(lower(text), '(?m)^[\x20\x09*#/;-]*(?:copyright\b|©|\(c\))[^\n]*$', ' ', 'g'), '[^\p{L}\p{N}]+', ' ', 'g')) || ' '"
+    for word, others in licenses.SPELLINGS.items():
+        for other in others:
+            plain = f"replace({plain}, ' {other} ', ' {word} ')"
+    return plain
+
+
+@query(
+    f"""
+WITH canonical AS (SELECT doc_id, {_canonical_sql()} AS plain FROM documents),
+known AS (SELECT plain, min(doc_id) AS license_id FROM canonical WHERE doc_id % 20 = 0 AND trim(plain) <> '' GROUP BY plain)
+SELECT doc_id, license_id FROM canonical JOIN known USING (plain)
+"""
+)
+def op8_license_digests(spark, folder):
+    """All documents looked up among the texts of every twentieth document, which stand for the known licences."""
+    docs = table(spark, folder, "documents")
+    known = docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("license_id"), "text")
+    return licenses.license_matches(docs, known)

@@ -9,15 +9,15 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracelake.llm.common import small_batches
-from tracelake.llm.labelled import bounded_sample, one_label, remainder
+from tracelake.llm.labelled import SCORE, learning_sample, remainder, with_score
 
 #: Labelled documents of each class that tokens are labelled in, the tokens of a training chain, and the chains of each kind.
 SAMPLE = 2_000
@@ -35,6 +35,7 @@ RATE = 0.3
 PIECE = 96
 MARGIN = 12
 REMEMBERED_WORDS = 200_000
+SPANS = "__spans"
 TOKEN = regex.compile(rb"[^\x20\x09-\x0D]+")
 _EDGES = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 
@@ -217,18 +218,18 @@ def batch_evidence(field: Field, docs: list[list[bytes]], weights: _Weights) ->
     return np.log(1e-3 + np.clip(total, 0, 3.0)), [marginals[e - n : e] for e, n in zip(ends, lengths, strict=True)]
 
 
-def _scorer(field: Field):
+def _scorer(field: Field, text_col: str, with_spans: bool):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = _Weights(field)
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             if len(weights) > REMEMBERED_WORDS:
                 weights.clear()
-            raw = [(t or "").encode("utf-8", "replace") for t in batch.column("__text").to_pylist()]
+            raw = [(t or "").encode("utf-8", "replace") for t in batch.column(text_col).to_pylist()]
             evidence, marginals = batch_evidence(field, [r.split() for r in raw], weights)
             scores = 1 / (1 + np.exp(-(field.scale * evidence + field.shift)))
-            spans = [_spans(text, found) for text, found in zip(raw, marginals, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(scores), pa.array(spans, kind)], ["__id", "score", "spans"])
+            spans = [pa.array([_spans(text, found) for text, found in zip(raw, marginals, strict=True)], kind)] if with_spans else []
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores), *spans], [*batch.schema.names, SCORE, *[SPANS] * with_spans])
 
     return score
 
@@ -249,25 +250,37 @@ def _spans(text: bytes, marginals: np.ndarray) -> list[dict]:
     return [{"start": len(text[:a].decode("utf-8")), "end": len(text[:b].decode("utf-8"))} for a, b in out]
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", parts: int = 4, held: int = 2) -> DataFrame:
-    """``id_col``, ``held_out``, ``score`` (0 to 1), ``predicted`` (1 from 0.3 on) and ``spans`` (character offsets of
-    offending passages) of every row.
+def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", parts: int = 4, held: int = 2) -> Field:
+    """Field of at most ``SAMPLE`` documents of each label, in digest order, none with crc32(id) mod ``parts`` = ``held``."""
+    chosen, _ = learning_sample(docs, labels, label, id_col, parts, held, SAMPLE)
+    texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    rows = texts.join(F.broadcast(chosen), "__id").groupBy("__id", "__label").agg(F.max("__text").alias("__text")).toPandas()
+    rows = rows.sort_values("__id", kind="stable")
+    toxic, clean = ([t.encode("utf-8", "replace").split() for t in rows.loc[rows["__label"] == y, "__text"]] for y in (1, 0))
+    return fit(toxic, clean)
+
 
-    The field learns from at most ``SAMPLE`` labelled documents of each label (in digest order), none of which has
-    crc32(id) mod ``parts`` = ``held``; only the text is an input. Every token of the whole text gets its marginal. Null and
-    empty texts get the score of a text without evidence; without both labels all scores are the same; repeated rows count
-    each; a null id has a null ``held_out``; other columns are ignored.
+def with_toxicity(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", parts: int = 4, held: int = 2, spans: bool = True
+) -> DataFrame:
+    """``docs`` with the probability of label 1 in column ``SCORE`` and, unless turned off, the character offsets of offending
+    passages in ``SPANS``; no document crosses a shuffle.
+
+    Only the text is an input, and every token of the whole text gets its marginal. Null and empty texts get the score of a
+    text without evidence; without both labels all scores are the same; repeated rows are kept; other columns pass unread,
+    whatever their names.
     """
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    known = texts.where(remainder("__id", parts) != held).join(one_label(labels, label, id_col), "__id")
-    ids = known.select("__id", "__label")
-    chosen = bounded_sample(ids, 0, SAMPLE).unionByName(bounded_sample(ids, 1, SAMPLE))
-    rows: pd.DataFrame = texts.join(F.broadcast(chosen), "__id").select("__id", "__label", "__text").toPandas()  # at most 2 x SAMPLE rows
-    rows = rows.sort_values("__id", kind="stable")
-    split = [[(t or "").encode("utf-8", "replace").split() for t in rows.loc[rows["__label"] == y, "__text"]] for y in (1, 0)]
-    field = fit(*split)
-    scored = small_batches(texts).mapInArrow(
-        _scorer(field), f"__id {docs.schema[id_col].dataType.simpleString()}, score double, spans array<struct<start: long, end: long>>"
-    )
-    out = remainder("__id", parts) == held
-    return scored.select(F.col("__id").alias(id_col), out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "spans")
+    field = fitted(docs, labels, label, id_col, text_col, parts, held)
+    schema = with_score(docs)
+    if spans:
+        schema = schema.add(SPANS, T.ArrayType(T.StructType.fromDDL("start long, end long")))
+    return small_batches(docs).mapInArrow(_scorer(field, text_col, spans), schema)
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, threshold: float = 0.3, **columns: str) -> DataFrame:
+    """Id, ``held_out`` (the document was kept from learning; null for a null id), ``score``, ``predicted`` (1 from
+    ``threshold`` on) and ``spans`` of every row, as ``with_toxicity`` finds them."""
+    id_col, text_col = columns.get("id_col", "doc_id"), columns.get("text_col", "text")
+    scored = with_toxicity(docs.select(id_col, text_col), labels, parts=parts, held=held, **columns)
+    held_out = (remainder(id_col, parts) == held).alias("held_out")
+    return scored.select(id_col, held_out, F.col(SCORE).alias("score"), (F.col(SCORE) >= threshold).cast("int").alias("predicted"), F.col(SPANS).alias("spans"))
