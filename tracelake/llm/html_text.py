@@ -172,24 +172,28 @@ class _Flow:
         self.lines: list[str] = []
         self.now: list[str] = []
         self.blank = False
+        self.raw = False
         self.indent = 0
         self.marker = ""
 
     def write(self, text: str, pre: bool) -> None:
+        self.raw |= pre
         if pre:
             first, *others = text.split("\n")
             self.now.append(first)
             for line in others:
                 self.flush(keep=True)
+                self.raw = True
                 self.now.append(line)
         else:
             self.now.append(BLANKS.sub(" ", text))
 
     def flush(self, keep: bool = False) -> None:
-        """End the line; ``keep`` also keeps an empty one and blanks within."""
+        """End the line; ``keep`` keeps it even if it is empty. Preformatted text keeps its blanks."""
         line = "".join(self.now)
-        line = line.rstrip() if keep else BLANKS.sub(" ", line).strip(" ")
+        line = line.rstrip() if self.raw else BLANKS.sub(" ", line).strip(" ")
         self.now.clear()
+        self.raw = False
         if line or keep:
             self.put([line])
 
@@ -246,8 +250,7 @@ class _Table:
                 for (column, _, _), part in zip(row, parts, strict=True):
                     if part:
                         line = line.ljust(starts[column]) + part
-                if line.strip():
-                    out.append(line.rstrip())
+                out.append(line.rstrip())
         return out
 
 
@@ -266,7 +269,7 @@ def render(html: str | None) -> str:
         node, parent, visible, pre = todo.pop()
         flow = flows[-1]
         if isinstance(node, str):
-            if visible:
+            if visible and not (parent.name == "details" and "open" not in parent.attrs):
                 flow.write(node, pre)
             continue
         if parent == "end":

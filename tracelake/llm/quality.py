@@ -217,7 +217,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: s
     rows = small_batches(texts.join(F.broadcast(chosen), "__id")).select("__label", "__text").mapInArrow(_featured, "label int, features array<double>").toPandas()
     rows = rows.iloc[np.lexsort(np.array(rows["features"].tolist()).T)] if len(rows) else rows  # no order of tasks in the sums
     y = rows["label"].to_numpy(float)
-    model = fit(np.array(rows["features"].tolist(), float).reshape(len(rows), -1), y)
+    model = fit(np.array(rows["features"].tolist(), float).reshape(len(rows), len(FEATURES)), y)
     if 0 < y.sum() < len(y):  # from the sample's share of labels to that of all labelled rows
         model.intercept += float(np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum())))
     return model

@@ -163,7 +163,7 @@ WITH items AS (
   SELECT doc_id, item_id, shift, n, max(run) AS score, count(*) FILTER (s > 0) AS matched FROM runs GROUP BY ALL
 )
 SELECT doc_id, item_id, score::INTEGER AS score, matched::INTEGER AS matched, n::INTEGER AS n_tokens, shift::INTEGER AS doc_token
-FROM scored WHERE score >= CASE WHEN n < 7 THEN n ELSE least(12, ceil(n / 2)) END
+FROM scored WHERE score >= CASE WHEN n < 7 THEN n ELSE least(12, greatest(7, ceil(n / 2))) END
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY score DESC, matched DESC, shift) = 1
 """
 )
