@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tracelake.catalog.bindings import AS_OF, TTL_RULES, Tables
 from tracelake.catalog.registry import query
+from tracelake.functions.dates import cutoff
 from tracelake.operators import filters, retention
 from tracelake.operators.filters import TraceFilter
 
@@ -101,6 +102,37 @@ def ttl_counts(t: Tables) -> DataFrame:
     return retention.retention_counts(t.traces, EXPANDED, t.projects)
 
 
+MANY_RULES = """WITH rules AS (SELECT rule_no, 'd' || rule_no AS tag, TIMESTAMP '2024-01-31' - to_days((1 + rule_no % 40)::INTEGER) AS cutoff FROM range(1500) t(rule_no)),
+    due AS (SELECT t.trace_id, min(r.rule_no) AS first_rule, count(r.rule_no) AS n FROM traces t LEFT JOIN rules r ON r.tag = 'd' || (t.trace_id % 2000) AND t.start_time <= r.cutoff GROUP BY 1)"""
+
+
+@query("ttl_many_rules", f"{MANY_RULES} SELECT trace_id, n AS rules, n = 0 AS kept FROM due", ("traces",))
+def ttl_many_rules(t: Tables) -> DataFrame:
+    """1,500 rules of 40 different ages: how many each trace matches, and whether deletion keeps it."""
+    rules = [retention.RetentionRule(n, f"d{n}", TraceFilter(before=cutoff(AS_OF, 1 + n % 40), tags=(f"d{n}",))) for n in range(1500)]
+    traces = t.traces.withColumn("tags", F.array(F.concat(F.lit("d"), F.col("trace_id") % 2000)))
+    hits = F.size(retention.matched_rules(traces, rules)).cast("long")
+    return traces.select("trace_id", hits.alias("rules"), (~retention.matches_any(traces, rules)).alias("kept"))
+
+
+@query("delete_dry_run", """SELECT project, trace_id, rule_no, label,
+      (row_number() OVER (PARTITION BY project, rule_no ORDER BY md5('batch:' || trace_id), trace_id) - 1) // 200 + 1 AS batch FROM matches""", MATCHED)
+def delete_dry_run(t: Tables) -> DataFrame:
+    return retention.delete_audit(t.traces, EXPANDED, dry_run=True)
+
+
+@query(
+    "config_filter",
+    "SELECT trace_id FROM traces WHERE start_time <= TIMESTAMP '2024-01-24' AND start_time > TIMESTAMP '2024-01-05' AND list_contains(tags, 'internal') AND NOT list_contains(tags, 'PII')",
+    ("traces",),
+)
+def config_filter(t: Tables) -> DataFrame:
+    """The flat filters of a configuration, with the excluded tag given beside it."""
+    flat = {"older_than_days": 7, "after": "2024-01-05", "tags": ["internal"], "exclude_tags": ["sensitive"]}
+    [rule] = retention.config_rules({"filters": flat}, AS_OF, TraceFilter(exclude_tags=("PII",)))
+    return rule.filter.apply(t.traces).select("trace_id")
+
+
 @query("ttl_distinct", "SELECT DISTINCT project_id, project, trace_id FROM matches", MATCHED)
 def ttl_distinct(t: Tables) -> DataFrame:
     return retention.distinct_matches(retention.match_rules(t.traces, EXPANDED))

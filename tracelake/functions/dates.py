@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,9 +13,27 @@ DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'
 INTERVALS = {"HOURLY": "HOUR", "DAILY": "DAY", "WEEKLY": "WEEK"}
 
 
+PYTHON_DATE_FORMATS = ["%Y-%m-%d", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M:%SZ"]
+
+
+def as_utc(value: datetime) -> datetime:
+    """The same moment as a naive UTC time; a naive time is UTC already."""
+    return value.astimezone(UTC).replace(tzinfo=None) if value.tzinfo else value
+
+
+def parsed_date(text: str | None) -> datetime | None:
+    """A configured date in one of the accepted formats as UTC time, else null."""
+    for form in PYTHON_DATE_FORMATS if text else ():
+        try:
+            return datetime.strptime(text, form)
+        except ValueError:
+            continue
+    return None
+
+
 def moment(value: datetime, like: T.DataType) -> Column:
     """A time literal of the column's own type, so that the comparison still reaches the Parquet scan."""
-    text = value.replace(tzinfo=None).isoformat(sep=" ", timespec="microseconds")
+    text = as_utc(value).isoformat(sep=" ", timespec="microseconds")
     return F.lit(text).cast("timestamp_ntz" if isinstance(like, T.TimestampNTZType) else "timestamp")
 
 
@@ -68,7 +86,8 @@ def bucket(ts: Column, interval: str) -> Column:
 
 
 def yesterday(as_of: datetime) -> tuple[datetime, datetime]:
-    """First and last microsecond of the day before ``as_of``."""
+    """First and last microsecond of the UTC day before ``as_of``."""
+    as_of = as_utc(as_of)
     start = datetime(as_of.year, as_of.month, as_of.day) - timedelta(days=1)
     return start, start + timedelta(days=1) - timedelta(microseconds=1)
 

@@ -1,34 +1,32 @@
 """Trace retention: rule expansion, matching, counting and deletion.
 
-Rules come from a small configuration, so they are compiled into the plan: matching is one narrow projection over the
-traces, without a join or shuffle, and the rows to keep are its complement. Only a rule set too long for a plan goes
-through an equi join on the tag.
+Rules come from a configuration, so they are compiled into the plan: matching is one narrow projection over the traces,
+without a join or shuffle, and the rows to keep are its complement. Rules that share their times and excluded tags are one
+test against the list of their tags, so a plan has as many tests as there are different times, not rules.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracelake.distribution import shuffled_index, spread_join
-from tracelake.functions.dates import cutoff, moment
-from tracelake.operators.filters import TraceFilter
+from tracelake.distribution import shuffled_index
+from tracelake.functions.dates import as_utc, cutoff, moment, parsed_date
+from tracelake.operators.filters import TraceFilter, has_any_tag
 from tracelake.session import small_frame
 
 # Ids per delete batch, and the tag histogram's key for traces without tags.
 DELETE_BATCH = 200
 UNTAGGED = "(untagged)"
 
-# Longest rule list compiled into one projection.
-PLAN_RULES = 200
-
 MATCH = T.StructType([T.StructField("rule_no", T.IntegerType()), T.StructField("label", T.StringType())])
 
 
@@ -38,39 +36,29 @@ class RetentionRule:
     label: str
     filter: TraceFilter
 
-    @property
-    def tag(self) -> str | None:
-        return self.filter.tags[0] if self.filter.tags else None
+
+# Findings of a configuration.
+MUST_BE_LIST, MUST_BE_POSITIVE = "must be a list", "must be a positive integer"
 
 
 def validate_retention(config: Mapping) -> list[tuple[str, str, str]]:
     """Findings ``(level, path, message)`` of a retention configuration."""
-    found = []
-    if "projects" in config and not isinstance(config["projects"], list):
-        found.append(("error", "projects", "must be a list"))
-    if config.get("filters") and config.get("ttl_rules"):
-        found.append(("warning", "filters", "ttl_rules take precedence"))
-    for number, rule in enumerate(config.get("ttl_rules") or []):
-        path = f"ttl_rules[{number}]"
-        if "older_than_days" not in rule:
-            found.append(("error", f"{path}.older_than_days", "is missing"))
-        elif not _positive_int(rule["older_than_days"]):
-            found.append(("error", f"{path}.older_than_days", "must be a positive integer"))
-        found += [
-            ("error", f"{path}.{name}", "must be a list")
-            for name in ("tags", "exclude_tags")
-            if not isinstance(rule.get(name, []), list)
-        ]
-    flat = config.get("filters") or {}
-    if flat.get("older_than_days") and flat.get("before"):
-        found.append(("error", "filters", "older_than_days and before exclude each other"))
+    rules, flat = list(enumerate(config.get("ttl_rules") or [])), config.get("filters") or {}
+    days = [(f"ttl_rules[{n}].older_than_days", rule.get("older_than_days", KeyError)) for n, rule in rules]
+    lists = [("projects", config.get("projects", [])), *((f"ttl_rules[{n}].{key}", rule.get(key, [])) for n, rule in rules for key in ("tags", "exclude_tags"))]
+    errors = [(path, MUST_BE_LIST) for path, value in lists if not isinstance(value, list)]
+    errors += [(path, "is missing" if value is KeyError else MUST_BE_POSITIVE) for path, value in days if not _positive_int(value)]
     if flat.get("older_than_days") is not None and not _positive_int(flat["older_than_days"]):
-        found.append(("error", "filters.older_than_days", "must be a positive integer"))
-    return found
+        errors.append(("filters.older_than_days", MUST_BE_POSITIVE))
+    if flat.get("older_than_days") and flat.get("before"):
+        errors.append(("filters", "older_than_days and before exclude each other"))
+    errors += [(f"filters.{key}", "is no date") for key in ("before", "after") if flat.get(key) and parsed_date(flat[key]) is None]
+    warnings = [("filters", "ttl_rules take precedence")] if flat and rules else []
+    return [("error", *e) for e in errors] + [("warning", *w) for w in warnings]
 
 
 def _positive_int(value: object) -> bool:
-    return isinstance(value, int) and value > 0
+    return isinstance(value, int) and not isinstance(value, bool) and value > 0
 
 
 def load_retention_config(spark: SparkSession, path: str) -> dict:
@@ -83,71 +71,119 @@ def load_retention_config(spark: SparkSession, path: str) -> dict:
     return config
 
 
+def config_filter(flat: Mapping, as_of: datetime, override: TraceFilter | None = None) -> TraceFilter:
+    """Filter of a configuration's flat ``filters`` block; every part that ``override`` sets wins. Refuses an empty one."""
+    before = cutoff(as_of, flat["older_than_days"]) if flat.get("older_than_days") else parsed_date(flat.get("before"))
+    built = TraceFilter(before, parsed_date(flat.get("after")), tuple(flat.get("tags") or ()), tuple(flat.get("exclude_tags") or ()))
+    built = built.merge(override) if override else built
+    if built.is_empty():
+        raise ValueError("a trace filter needs at least one condition")
+    return built
+
+
+def config_rules(config: Mapping, as_of: datetime, override: TraceFilter | None = None) -> list[RetentionRule]:
+    """Rules of a whole configuration: its expanded ``ttl_rules``, else its flat filters as the only rule, with the
+    override on top."""
+    if config.get("ttl_rules"):
+        expanded = expand_ttl_rules(config["ttl_rules"], as_of)
+        return [replace(r, filter=r.filter.merge(override)) for r in expanded] if override else expanded
+    flat = config_filter(config.get("filters") or {}, as_of, override)
+    return [RetentionRule(0, flat.describe(), flat)]
+
+
 def expand_ttl_rules(rules: Sequence[Mapping], as_of: datetime, protect_all_tags: bool = False) -> list[RetentionRule]:
     """One rule per tag, shortest retention first; a rule without tags spares the tags of the rules before it.
 
     A tag kept longer than the catch-all is therefore not spared, unless ``protect_all_tags`` is set.
     """
-    ordered = sorted(rules, key=lambda r: r["older_than_days"])
-    everything = [tag for rule in ordered for tag in rule.get("tags") or []]
-    seen: list[str] = []
-    expanded: list[RetentionRule] = []
-    for rule in ordered:
-        days, tags = rule["older_than_days"], list(rule.get("tags") or [])
-        spared = list(rule.get("exclude_tags") or [])
-        limit = cutoff(as_of, days)
-        if tags:
-            variants = [(f"tag={tag!r}, >{days}d old", TraceFilter(limit, None, (tag,), tuple(spared))) for tag in tags]
-            seen += tags
-        else:
-            label = rule.get("description") or f"no configured tags, >{days}d old"
-            variants = [(label, TraceFilter(limit, None, (), tuple((everything if protect_all_tags else seen) + spared)))]
-        expanded += [RetentionRule(len(expanded) + i, label, flt) for i, (label, flt) in enumerate(variants)]
-    return expanded
-
-
-def rules_frame(spark: SparkSession, expanded: Sequence[RetentionRule]) -> DataFrame:
-    rows = [(r.rule_no, r.label, r.filter.before, r.tag, list(r.filter.exclude_tags)) for r in expanded]
-    return small_frame(spark, rows, "rule_no int, label string, cutoff timestamp, tag string, exclude_tags array<string>")
+    by_days = sorted(rules, key=lambda rule: rule["older_than_days"])
+    own = [tuple(rule.get("tags") or ()) for rule in by_days]
+    earlier = list(accumulate(own, initial=()))
+    spared = [earlier[-1]] * len(own) if protect_all_tags else earlier
+    singles = [
+        (rule, tag, tuple(rule.get("exclude_tags") or ()) if tag is not None else before + tuple(rule.get("exclude_tags") or ()))
+        for rule, tags, before in zip(by_days, own, spared, strict=False)
+        for tag in tags or (None,)
+    ]
+    return [
+        RetentionRule(number, _label(rule, tag), TraceFilter(cutoff(as_of, rule["older_than_days"]), None, () if tag is None else (tag,), excluded))
+        for number, (rule, tag, excluded) in enumerate(singles)
+    ]
+
+
+def _label(rule: Mapping, tag: str | None) -> str:
+    """Fixed form of a rule's label; a rule without tags may describe itself."""
+    age = f">{rule['older_than_days']}d old"
+    return f"tag={tag!r}, {age}" if tag is not None else rule.get("description") or f"no configured tags, {age}"
+
+
+def _shared_tests(expanded: Sequence[RetentionRule]) -> dict[TraceFilter, list[RetentionRule]]:
+    """Rules by what they ask for besides a single tag."""
+    shared: dict[TraceFilter, list[RetentionRule]] = {}
+    for rule in expanded:
+        rest = replace(rule.filter, tags=()) if len(rule.filter.tags) == 1 else rule.filter
+        shared.setdefault(rest, []).append(rule)
+    return shared
+
+
+def _holds(traces: DataFrame, rest: TraceFilter) -> Column:
+    return F.lit(True) if rest.is_empty() else F.coalesce(rest.to_column(traces), F.lit(False))
+
+
+def _single_tag(rule: RetentionRule) -> str | None:
+    return rule.filter.tags[0] if len(rule.filter.tags) == 1 else None
+
+
+def _entries(rules: Sequence[RetentionRule]) -> Column:
+    return F.array(*[F.struct(F.lit(r.rule_no).alias("rule_no"), F.lit(r.label).alias("label")) for r in rules]).cast(T.ArrayType(MATCH))
+
+
+def _value_in(known: Column):
+    return lambda key: F.element_at(known, key)
 
 
 def matched_rules(traces: DataFrame, expanded: Sequence[RetentionRule]) -> Column:
     """Array of the rules a trace matches, in rule order, computed without any join."""
-    if not expanded:
-        return F.array().cast(T.ArrayType(MATCH))
-    hits = [
-        F.when(r.filter.to_column(traces), F.struct(F.lit(r.rule_no).alias("rule_no"), F.lit(r.label).alias("label")))
-        for r in expanded
-    ]
-    return F.array_compact(F.array(*hits)).cast(T.ArrayType(MATCH))
+    none = F.array().cast(T.ArrayType(MATCH))
+    parts = []
+    for rest, rules in _shared_tests(expanded).items():
+        by_tag: dict[str, list[RetentionRule]] = {}
+        for rule in rules:
+            if _single_tag(rule) is not None:
+                by_tag.setdefault(_single_tag(rule), []).append(rule)
+        hits = _entries([r for r in rules if _single_tag(r) is None])
+        if by_tag:
+            known = F.map_from_arrays(F.array(*[F.lit(t) for t in by_tag]), F.array(*[_entries(r) for r in by_tag.values()]))
+            met = F.array_intersect(F.coalesce("tags", F.array().cast("array<string>")), F.array(*[F.lit(t) for t in by_tag]))
+            hits = F.concat(hits, F.flatten(F.transform(met, _value_in(known))))
+        parts.append(F.when(_holds(traces, rest), hits).otherwise(none))
+    return F.array_sort(F.flatten(F.array(*parts))) if parts else none
 
 
 def matches_any(traces: DataFrame, expanded: Sequence[RetentionRule]) -> Column:
-    tests = [F.coalesce(r.filter.to_column(traces), F.lit(False)) for r in expanded]
-    return reduce(Column.__or__, tests, F.lit(False))
+    """One test for each different time and exclusion, as a balanced tree: its depth grows with the logarithm of their number."""
+    tests = []
+    for rest, rules in _shared_tests(expanded).items():
+        tags = [_single_tag(r) for r in rules]
+        tests.append(_holds(traces, rest) if None in tags else _holds(traces, rest) & has_any_tag(F.col("tags"), list(dict.fromkeys(tags))))
+    while len(tests) > 1:
+        tests = [reduce(Column.__or__, tests[i : i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0] if tests else F.lit(False)
 
 
-def match_rules(traces: DataFrame, expanded: Sequence[RetentionRule], plan_rules: int = PLAN_RULES) -> DataFrame:
-    """One row per (trace, matching rule).
+def _candidates(traces: DataFrame, expanded: Sequence[RetentionRule]) -> DataFrame:
+    """Traces old enough for some rule; the bound reaches the scan."""
+    limits = [as_utc(r.filter.before) for r in expanded if r.filter.before is not None]
+    if len(limits) < len(expanded) or not limits:
+        return traces if expanded else traces.limit(0)
+    return traces.where(F.col("start_time") <= moment(max(limits), traces.schema["start_time"].dataType))
 
-    Beyond ``plan_rules`` rules, tag rules go through an equi join on exploded tags and the rest in several projections.
-    """
-    if not expanded:
-        return traces.select("*", F.lit(0).alias("rule_no"), F.lit("").alias("label")).limit(0)
-    kind = traces.schema["start_time"].dataType
-    candidates = traces.where(F.col("start_time") <= moment(max(r.filter.before for r in expanded), kind))
-    if len(expanded) <= plan_rules:
-        hits = candidates.withColumn("__hit", F.explode(matched_rules(candidates, expanded)))
-        return hits.select(*traces.columns, "__hit.rule_no", "__hit.label")
-    catch_alls = [r for r in expanded if r.tag is None]
-    parts = [match_rules(traces, catch_alls[i : i + plan_rules], plan_rules) for i in range(0, len(catch_alls), plan_rules)]
-    table = rules_frame(traces.sparkSession, [r for r in expanded if r.tag is not None])
-    tagged = candidates.withColumn("tag", F.explode(F.array_distinct("tags")))
-    spared = F.coalesce(F.arrays_overlap("tags", "exclude_tags"), F.lit(False))
-    joined = spread_join(tagged, table, ["tag"], "inner", "trace_id")
-    due = F.col("start_time") <= F.col("cutoff").cast(kind)
-    parts.append(joined.where(due & ~spared).select(*traces.columns, "rule_no", "label"))
-    return reduce(DataFrame.unionByName, parts)
+
+def match_rules(traces: DataFrame, expanded: Sequence[RetentionRule]) -> DataFrame:
+    """One row per (trace, matching rule), for any number of rules."""
+    due = _candidates(traces, expanded)
+    hits = due.withColumn("__hit", F.explode(matched_rules(due, expanded)))
+    return hits.select(*traces.columns, "__hit.rule_no", "__hit.label")
 
 
 def distinct_matches(matches: DataFrame) -> DataFrame:
@@ -172,10 +208,8 @@ def retention_counts(traces: DataFrame, expanded: Sequence[RetentionRule], proje
 
     Traces are counted before they meet the project list, so the join sees one row per project.
     """
-    kind = traces.schema["start_time"].dataType
-    due = traces.where(F.col("start_time") <= moment(max(r.filter.before for r in expanded), kind))
-    parts = [expanded[i : i + PLAN_RULES] for i in range(0, len(expanded), PLAN_RULES)]
-    hits = reduce(Column.__add__, [F.size(matched_rules(due, part)) for part in parts])
+    due = _candidates(traces, expanded)
+    hits = F.size(matched_rules(due, expanded))
     per_project = due.withColumn("__hits", hits).groupBy(F.col("project").alias("name")).agg(
         F.sum("__hits").alias("matches"), F.count_if(F.col("__hits") > 0).alias("distinct_traces")
     )
@@ -199,11 +233,12 @@ def batch_ids(ids: DataFrame, id_col: str = "trace_id", group: Sequence[str] = (
 
 def delete_audit(traces: DataFrame, expanded: Sequence[RetentionRule], dry_run: bool = False, size: int = DELETE_BATCH) -> DataFrame:
     """Batched list of what is deleted. A real run removes a trace with its first rule; a dry run lists it under each."""
-    matches = match_rules(traces, expanded).select("project", "trace_id", "rule_no", "label")
-    if not dry_run and expanded:
-        labels = F.array(*[F.lit(r.label) for r in expanded])
-        first = matches.groupBy("project", "trace_id").agg(F.min("rule_no").alias("rule_no"))
-        matches = first.withColumn("label", F.get(labels, F.col("rule_no")))
+    if dry_run:
+        matches = match_rules(traces, expanded).select("project", "trace_id", "rule_no", "label")
+    else:
+        due = _candidates(traces, expanded)
+        first = due.select("project", "trace_id", F.get(matched_rules(due, expanded), F.lit(0)).alias("__hit")).where(F.col("__hit").isNotNull())
+        matches = first.select("project", "trace_id", "__hit.rule_no", "__hit.label")
     return batch_ids(matches, group=["project", "rule_no"], size=size)
 
 
