@@ -8,17 +8,17 @@ from tracelake.operators import tables
 from tracelake.operators.metrics import MetricSpec, row_metric
 
 ITEMS = [
-    ("1", "What is the capital of France?", "Paris"),
-    ("2", "What is 12 x 8?", "96"),
-    ("3", "Who wrote Hamlet?", "Shakespeare"),
+    ("1", "What is the colour of rust?", "orange"),
+    ("2", "How many legs has a crab?", "ten"),
+    ("3", "Which bird cannot fly?", "ostrich"),
 ]
 OUTPUTS = [
-    ("A", "1", "The capital of France is Paris"),
-    ("B", "1", "Paris"),
-    ("A", "2", "12 x 8 is 96"),
-    ("B", "2", "96"),
-    ("A", "3", "It was Shakespeare."),
-    ("B", "3", "unknown"),
+    ("B", "1", "orange"),
+    ("A", "1", "The colour of rust is orange"),
+    ("B", "2", "ten"),
+    ("A", "2", "A crab has ten legs"),
+    ("B", "3", "none"),
+    ("A", "3", "An ostrich."),
 ]
 
 
@@ -121,4 +121,6 @@ def test_tables(spark):
     assert tables.tables_equal(base, base) and not tables.tables_equal(base, base.union(base.limit(1)))
     assert rows(tables.insert_items(base, [{"k": "c"}]), "k") == [("a",), ("b",), ("c",)]
     versions = spark.createDataFrame([("p", 3), ("p", 1), ("q", 5)], "name string, created_at int")
-    assert rows(tables.next_version(versions)) == [("p", 1, 1), ("p", 3, 2), ("q", 5, 1)]
+    assert rows(tables.next_version(versions, ties=["created_at"])) == [("p", 1, 1), ("p", 3, 2), ("q", 5, 1)]
+    with pytest.raises(ValueError):
+        tables.next_version(versions, ties=[])

@@ -9,6 +9,7 @@ from tracelake.catalog.rules import METRICS
 from tracelake.functions import documents as J
 from tracelake.functions.text import render_braces, render_mustache
 from tracelake.operators import rules as R
+from tracelake.operators.metrics import MetricSpec
 from tracelake.operators.threads import SESSION_COLUMNS, combine_parts, sessions_by, thread_parts, thread_sessions
 from tracelake.streaming import arrivals as A
 
@@ -121,15 +122,28 @@ def test_rule_upkeep(spark, rules):
 
 def test_judge_values_and_images(spark):
     df = spark.createDataFrame([('{"a": 1.5, "b": false, "c": 3}', "data:image/png;base64,aGk="), ("oops", "https://x/i.png")], "j string, u string")
-    first, second = df.select(J.parse_judge(F.col("j"), [("a", "INTEGER"), ("b", "BOOLEAN"), ("c", "DOUBLE")]), J.image_part(F.col("u"))).collect()
-    assert [(e.name, e.value, e.failed) for e in first[0]] == [("a", None, True), ("b", 0.0, False), ("c", 3.0, False)]
-    assert all(e.failed for e in second[0])
+    fields = [("a", "INTEGER"), ("b", "BOOLEAN"), ("c", "DOUBLE")]
+    values = F.array(*[J.json_scalar(F.get_json_object("j", f"$.{n}"), F.lit(kind)) for n, kind in fields])
+    first, second = df.select(values, J.image_part(F.col("u"))).collect()
+    assert (first[0], second[0]) == ([None, 0.0, 3.0], [None, None, None])
     assert (first[1].kind, first[1].mime, bytes(first[1].bytes)) == ("data", "image/png", b"hi")
     assert (second[1].kind, second[1].mime) == ("url", None)
     parts = df.select(J.content_parts(F.lit("t"), F.col("u"))).first()[0]
     assert [p.type for p in parts] == ["text", "image_url"]
 
 
+def test_arguments_of_the_rule_and_map_roots(spark):
+    same = MetricSpec("same", lambda output, reference: (output == reference).cast("double"), {"output": "output", "reference": "input.want"})
+    data = [("t", '{"want": "a", "other": "b"}', "b", {"env.zone": "b"})]
+    items = spark.createDataFrame(data, "trace_id string, input string, output string, metadata map<string,string>")
+    rule = "struct<rule_id: string, metric: string, arguments: map<string,string>>"
+    given = [("r1", "same", {"reference": "input.other"}), ("r2", "same", {"output": "metadata.env.zone"}), ("r3", "same", None), ("r4", "same", {"reference": "metadata.env.zone"})]
+    routed = items.crossJoin(spark.createDataFrame([(g,) for g in given], f"rule {rule}"))
+    assert rows(R.metric_scores(routed, {"same": same}), "rule_id", "value") == [("r1", 1.0), ("r2", 0.0), ("r3", 0.0), ("r4", 1.0)]
+    bound = items.select(R.bind_variables(F.create_map(F.lit("v"), F.lit("metadata.env.zone")), {"metadata": F.col("metadata")}, {"metadata"}).alias("b"))
+    assert bound.first().b == {"v": "b"}
+
+
 def _arrive(spark, items, folder):
     items.coalesce(1).write.mode("append").parquet(folder)
     return A.stream_traces(spark, folder, items.schema)

@@ -13,11 +13,11 @@ DAILY = "workspace string, project_id string, project string, metric string, ser
 def daily(spark):
     return spark.createDataFrame(
         [
-            ("w", "1", "alpha", "TRACE_COUNT", "", date(2026, 7, 1), 5.0),
-            ("w", "1", "alpha", "SPAN_COUNT", "", date(2026, 7, 1), 12.0),
-            ("w", "1", "alpha", "THREAD_COUNT", "", date(2026, 7, 2), 2.0),
-            ("w", "1", "alpha", "TOKEN_USAGE", "gpt-4o", date(2026, 7, 1), 900.0),
-            ("w", "1", "alpha", "COST", "", date(2026, 7, 1), 0.42),
+            ("w", "4", "orchid", "COST", "", date(2025, 11, 3), 2.5),
+            ("w", "4", "orchid", "TOKEN_USAGE", "small", date(2025, 11, 8), 1500.0),
+            ("w", "4", "orchid", "TRACE_COUNT", "", date(2025, 11, 3), 8.0),
+            ("w", "4", "orchid", "THREAD_COUNT", "", date(2025, 11, 8), 3.0),
+            ("w", "4", "orchid", "SPAN_COUNT", "", date(2025, 11, 4), 30.0),
         ],
         DAILY,
     )
@@ -25,36 +25,36 @@ def daily(spark):
 
 @pytest.fixture
 def summary(spark):
-    values = {"TRACE_COUNT": 5.0, "THREAD_COUNT": 2.0, "TOKENS_TOTAL": 900.0, "TOTAL_COST": 1234.0, "GUARDRAILS_FAILED_COUNT": 0.0}
-    return spark.createDataFrame([("alpha", m, v) for m, v in values.items()], "project string, metric string, value double")
+    values = {"TRACE_COUNT": 8.0, "THREAD_COUNT": 3.0, "TOKENS_TOTAL": 1500.0, "TOTAL_COST": 20500.0, "GUARDRAILS_FAILED_COUNT": 1.0}
+    return spark.createDataFrame([("orchid", m, v) for m, v in values.items()], "project string, metric string, value double")
 
 
 def test_monthly_rollup(daily):
     monthly = U.rollup_monthly(daily)
     assert monthly.count() == 5
-    assert {r.date for r in monthly.collect()} == {date(2026, 7, 31)}
+    assert {r.date for r in monthly.collect()} == {date(2025, 11, 30)}
 
 
 def test_projects_of_one_name_merge_and_null_keys_drop(spark, daily):
     more = spark.createDataFrame(
-        [("w", "2", "alpha", "TRACE_COUNT", "", date(2026, 7, 9), 1.0), ("w", "2", "beta", "COST", None, date(2026, 7, 9), 1.0)], DAILY
+        [("w", "2", "orchid", "TRACE_COUNT", "", date(2025, 11, 9), 1.0), ("w", "2", "beta", "COST", None, date(2025, 11, 9), 1.0)], DAILY
     )
     monthly = U.rollup_monthly(daily.union(more))
-    assert ("alpha", "TRACE_COUNT", 6.0) in rows(monthly, "project", "metric", "value")
+    assert ("orchid", "TRACE_COUNT", 9.0) in rows(monthly, "project", "metric", "value")
     assert "beta" not in {r.project for r in monthly.collect()}
     assert ("beta", "—", 1.0, "$1.0000") in rows(U.magnitude(daily.union(more), "COST"))
 
 
 def test_pivot_is_one_row(daily):
-    assert rows(U.pivot_totals(daily)) == [("alpha", 5.0, 2.0, 12.0, 900.0, 0.42)]
+    assert rows(U.pivot_totals(daily)) == [("orchid", 8.0, 3.0, 30.0, 1500.0, 2.5)]
 
 
 def test_report_tables(daily, summary):
     tables = U.usage_report(daily, summary)
-    assert rows(tables["snapshot"]) == [("alpha", "5", "2", "900", "$1,234.00", "0")]
-    assert rows(tables["magnitude_token_usage"]) == [("alpha", "gpt-4o", 900.0, "900")]
-    assert rows(tables["magnitude_cost"]) == [("alpha", "—", 0.42, "$0.4200")]
-    assert rows(tables["daily_trace_count"], "label", "value") == [("Jul 01", 5.0)]
+    assert rows(tables["snapshot"]) == [("orchid", "8", "3", "1,500", "$20,500.00", "1")]
+    assert rows(tables["magnitude_token_usage"]) == [("orchid", "small", 1500.0, "1,500")]
+    assert rows(tables["magnitude_cost"]) == [("orchid", "—", 2.5, "$2.5000")]
+    assert rows(tables["daily_trace_count"], "label", "value") == [("Nov 03", 8.0)]
 
 
 def test_empty_frames_pass_through(daily, summary):
@@ -102,8 +102,9 @@ def test_daily_metrics_and_snapshot(spark):
 
 def test_window_ends_at_a_time_of_day(spark):
     traces = _traces(spark)
-    counted = U.daily_metrics(traces, metrics=["TRACE_COUNT"], start=datetime(2026, 7, 1, 10), end=datetime(2026, 7, 1, 23))
-    assert rows(counted, "date", "value") == [(date(2026, 7, 1), 2.0)]
+    for start, end in ((datetime(2026, 7, 1, 10), datetime(2026, 7, 1, 23)), (date(2026, 7, 1), date(2026, 7, 1))):
+        counted = U.daily_metrics(traces, metrics=["TRACE_COUNT"], start=start, end=end)
+        assert rows(counted, "date", "value") == [(date(2026, 7, 1), 2.0)]
 
 
 def test_report_files(spark, tmp_path):

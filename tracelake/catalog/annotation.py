@@ -119,9 +119,22 @@ def action_items(t: Tables) -> DataFrame:
 
 @query(
     "thread_parts",
-    """SELECT conv_id, 0 AS part, count(*)::INTEGER AS turns, md5(string_agg(text, chr(10) ORDER BY turn, text)) AS conversation
+    """SELECT conv_id, 0 AS part, count(*)::INTEGER AS turns, md5(string_agg(text, chr(10) ORDER BY turn, text)) AS conversation, 1 AS parts
       FROM conversations GROUP BY 1""",
 )
 def thread_parts(t: Tables) -> DataFrame:
-    parts = threads.thread_parts(t.table("conversations"), "conv_id")
+    parts = threads.thread_parts(t.table("conversations"), 200, "conv_id")
+    return parts.withColumn("conversation", F.md5("conversation"))
+
+
+@query(
+    "thread_parts_long",
+    """SELECT conv_id, part, count(*)::INTEGER AS turns, md5(string_agg(text, chr(10) ORDER BY turn, text)) AS conversation,
+        max(parts) AS parts FROM (
+      SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, md5(text), text) - 1) // 2 AS part, (count(*) OVER (PARTITION BY conv_id) + 1) // 2 AS parts
+      FROM conversations) GROUP BY conv_id, part""",
+)
+def thread_parts_long(t: Tables) -> DataFrame:
+    """Conversations cut into parts of two turns."""
+    parts = threads.thread_parts(t.table("conversations"), 2, "conv_id")
     return parts.withColumn("conversation", F.md5("conversation"))

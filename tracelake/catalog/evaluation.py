@@ -163,7 +163,7 @@ def best_trial(t: Tables) -> DataFrame:
 )
 def prompt_versions(t: Tables) -> DataFrame:
     prompts = t.table("documents").select("doc_id", F.col("source").alias("name"))
-    return tables.next_version(prompts, "name", "doc_id")
+    return tables.next_version(prompts, "name", "doc_id", ties=["doc_id"])
 
 
 @query("head_split", "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 400")

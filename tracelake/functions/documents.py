@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,14 +23,16 @@ def json_path(roots: Mapping[str, Column], path: str) -> Column:
     return F.get_json_object(roots[root], f"$.{rest}") if rest else roots[root]
 
 
-def json_path_of(roots: Mapping[str, Column], path: Column) -> Column:
-    """``json_path`` for a path that differs per row."""
+def json_path_of(roots: Mapping[str, Column], path: Column, maps: Collection[str] = ()) -> Column:
+    """``json_path`` for a path that differs per row. Roots named in ``maps`` are text maps, whose keys may hold dots."""
     root = F.substring_index(path, ".", 1)
-    rest = F.expr("null").cast("string")
+    found = F.expr("null").cast("string")
     for name, column in roots.items():
-        inner = F.call_function("get_json_object", column, F.concat(F.lit("$."), F.substring(path, F.lit(len(name) + 2), F.length(path))))
-        rest = F.when(root == name, F.when(path == name, column).otherwise(inner)).otherwise(rest)
-    return rest
+        rest = F.substring(path, F.lit(len(name) + 2), F.length(path))
+        whole = F.to_json(column) if name in maps else column
+        inner = F.try_element_at(column, rest) if name in maps else F.call_function("get_json_object", column, F.concat(F.lit("$."), rest))
+        found = F.when(root == name, F.when(path == name, whole).otherwise(inner)).otherwise(found)
+    return found
 
 
 def pluck(items: Column, field: str) -> Column:
@@ -49,23 +51,11 @@ def encode_attribute(value: Column) -> Column:
     return F.to_json(value)
 
 
-def json_scalar(text: Column, kind: str) -> Column:
-    """Judge value as a number: booleans become 1 or 0, anything else that is not a number becomes null."""
-    if kind == "BOOLEAN":
-        return F.when(text == "true", 1.0).when(text == "false", 0.0)
+def json_scalar(text: Column, kind: Column) -> Column:
+    """Judge value as a number: booleans become 1 or 0, anything else that is not a number of its kind becomes null."""
     number = text.try_cast("double")
-    if kind == "INTEGER":
-        return F.when(number == F.floor(number), number)
-    return number
-
-
-def parse_judge(text: Column, fields: Sequence[tuple[str, str]]) -> Column:
-    """Judge answer as an array of ``(name, value, failed)``, one per field of the output schema."""
-    entries = []
-    for name, kind in fields:
-        value = json_scalar(F.get_json_object(text, f"$.{name}"), kind)
-        entries.append(F.struct(F.lit(name).alias("name"), value.alias("value"), value.isNull().alias("failed")))
-    return F.array(*entries)
+    flag = F.when(text == "true", 1.0).when(text == "false", 0.0)
+    return F.when(kind == "BOOLEAN", flag).when(kind == "INTEGER", F.when(number == F.floor(number), number)).otherwise(number)
 
 
 def image_part(url: Column) -> Column:

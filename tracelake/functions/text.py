@@ -144,7 +144,7 @@ def format_metric(key: Column, value: Column) -> Column:
 def markdown_sections(text: Column) -> Column:
     """Map of second-level heading to trimmed body; the last of two equal headings wins."""
     unix = F.regexp_replace(text, r"\r\n?", "\n")
-    parts = F.split(unix, r"(?m)^##\s+")
+    parts = F.split(unix, r"(?m)^##[ \t]+")
     sections = F.transform(
         F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
         lambda part: F.struct(

@@ -13,11 +13,11 @@ from tracelake.session import small_frame
 # The category of a call that names none, and the categories every installation has.
 DEFAULT_CATEGORY = "other"
 CATEGORIES = {
-    "sales": "Sales calls with potential or existing customers",
-    "support": "Customer support or service calls",
-    "interview": "Job interviews or candidate screenings",
-    "meeting": "General business meetings",
-    "other": "Other types of calls",
+    "sales": "Talks about buying, with people who may or do buy",
+    "support": "Help with a product or service in use",
+    "interview": "Talks with applicants for a job",
+    "meeting": "Meetings of people who work together",
+    "other": "Everything else",
 }
 
 

@@ -110,8 +110,8 @@ def slice_label(conditions: Mapping[str, str]) -> str:
 
 def slice_label_of(conditions: Column) -> Column:
     """``slice_label`` for a map column."""
-    pairs = F.transform(F.map_entries(conditions), lambda e: F.concat_ws("=", e["key"], e["value"]))
-    return F.when(F.size(conditions) == 0, "all").otherwise(F.array_join(F.array_sort(pairs), "&"))
+    pairs = F.transform(F.array_sort(F.map_entries(conditions)), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return F.when(F.size(conditions) == 0, "all").otherwise(F.array_join(pairs, "&"))
 
 
 def slice_traces(traces: DataFrame, slices: Sequence[Mapping[str, str]]) -> DataFrame:
@@ -130,13 +130,14 @@ def slice_traces_by_table(traces: DataFrame, slices: DataFrame) -> DataFrame:
     A trace belongs to a slice if as many of its metadata pairs occur in the slice as the slice has, so the theta
     condition becomes an equi join on (key, value) followed by a count per trace and slice.
     """
-    labelled = slices.select(slice_label_of(F.col("conditions")).alias("slice"), "conditions").dropDuplicates(["slice"])
+    known = slices.select(F.array_sort(F.map_entries("conditions")).alias("__pairs")).distinct().select(F.map_from_entries("__pairs").alias("conditions"))
+    labelled = known.select(slice_label_of(F.col("conditions")).alias("slice"), F.xxhash64(F.array_sort(F.map_entries("conditions"))).alias("__slice"), "conditions")
     wanted = labelled.where(F.size("conditions") > 0).select(
-        "slice", F.size("conditions").alias("__need"), F.explode("conditions").alias("__k", "__v")
+        "slice", "__slice", F.size("conditions").alias("__need"), F.explode("conditions").alias("__k", "__v")
     )
-    pairs = traces.select("trace_id", F.explode("metadata").alias("__k", "__v"))
+    pairs = traces.select("trace_id", F.explode("metadata").alias("__k", "__v")).distinct()
     hits = spread_join(pairs, wanted, ["__k", "__v"], "inner", "trace_id")
-    members = hits.groupBy("trace_id", "slice", "__need").count().where(F.col("count") == F.col("__need"))
+    members = hits.groupBy("trace_id", "slice", "__slice", "__need").count().where(F.col("count") == F.col("__need"))
     matched = traces.join(members.select("trace_id", "slice"), "trace_id")
     return traces.withColumn("slice", F.lit("all")).unionByName(matched.select(*traces.columns, "slice"))
 

@@ -25,37 +25,39 @@ class MetricSpec:
     reason: Callable | None = None
     python: bool = False
 
-    def _bound(self, columns: Sequence[str]) -> dict[str, Column]:
+    def bound(self, columns: Sequence[str]) -> dict[str, Column]:
         roots = {c: F.col(c) for c in columns}
         return {arg: F.col(path) if path in roots else json_path(roots, path) for arg, path in self.arguments.items()}
 
-    def _python(self, columns: Sequence[str]) -> Column:
-        names, fn = list(self.arguments), self.fn
+    def _python(self, bound: Mapping[str, Column]) -> Column:
+        names, fn = list(bound), self.fn
 
         @F.pandas_udf("value double, reason string")
         def score(args: pd.DataFrame) -> pd.DataFrame:
             return fn(**{n: args[n] for n in names})
 
-        return score(F.struct(*[c.alias(n) for n, c in self._bound(columns).items()]))
+        return score(F.struct(*[c.alias(n) for n, c in bound.items()]))
 
     def value(self, columns: Sequence[str]) -> Column:
-        return self._python(columns)["value"] if self.python else self.fn(**self._bound(columns))
+        return self._python(self.bound(columns))["value"] if self.python else self.fn(**self.bound(columns))
 
-    def entry(self, columns: Sequence[str]) -> Column:
-        """Struct ``(name, value, reason)``."""
+    def entry(self, columns: Sequence[str], given: Mapping[str, Column] | None = None) -> Column:
+        """Struct ``(name, value, reason)``; ``given`` arguments stand in for those the spec maps."""
+        bound = {**self.bound(columns), **(given or {})}
         if self.python:
-            result = self._python(columns)
+            result = self._python(bound)
             value, reason = result["value"], result["reason"]
         else:
-            value = self.fn(**self._bound(columns))
-            reason = self.reason(**self._bound(columns)) if self.reason else F.lit(None)
+            value = self.fn(**bound)
+            reason = self.reason(**bound) if self.reason else F.lit(None)
         return F.struct(
             F.lit(self.name).alias("name"), value.cast("double").alias("value"), reason.cast("string").alias("reason")
         )
 
 
 def row_metric(score: Callable) -> Callable:
-    """Turn a ``score(**values) -> value | (value, reason)`` function into one over batches; a failing row has no value."""
+    """Turn a caller's ``score(**values) -> value | (value, reason)`` function into one over batches; a failing row has no
+    value. It runs row by row, so it is for code that can't be written over columns; no query here needs it."""
 
     def batch(**series: pd.Series) -> pd.DataFrame:
         rows = []

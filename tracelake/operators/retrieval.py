@@ -88,7 +88,8 @@ def topk_similar(
     and ties go to the smaller id, so results do not depend on how rows are batched. Zero vectors have no direction and
     are no one's neighbours.
     """
-    asked = queries.select(query_id, "embedding").dropDuplicates([query_id])
+    asked = queries.where(F.col("embedding").isNotNull()).groupBy(query_id).agg(F.min("embedding").alias("embedding"))
+    corpus = corpus.where(F.col("embedding").isNotNull())
     total = asked.count()
     blocks = max(1, -(-total // block))
     if blocks > 1:

@@ -5,14 +5,14 @@ Every function here takes a batch or a streaming DataFrame; the streaming jobs r
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.distribution import seeded_key, spread_join
-from tracelake.functions.documents import json_path_of
+from tracelake.functions.documents import json_path_of, json_scalar
 from tracelake.functions.text import render_mustache
 from tracelake.operators import tables
 from tracelake.operators.metrics import MetricSpec
@@ -98,14 +98,15 @@ def route_rules(items: DataFrame, rules: DataFrame, level: str = "trace", item_i
     return routed.where(sampled(F.col(item_id), F.col("rule.rule_id"), F.col("rule.sampling_rate")))
 
 
-def bind_variables(variables: Column, roots: Mapping[str, Column]) -> Column:
+def bind_variables(variables: Column, roots: Mapping[str, Column], maps: Collection[str] = ()) -> Column:
     """Map of variable to the value at its path."""
-    return F.transform_values(variables, lambda _, path: json_path_of(roots, path))
+    return F.transform_values(variables, lambda _, path: json_path_of(roots, path, maps))
 
 
-def rule_prompts(routed: DataFrame, roots: Mapping[str, Column]) -> DataFrame:
-    """Adds the judge prompt of every routed row: rendered messages, each after its role."""
-    values = F.coalesce(bind_variables(F.col("rule.variables"), roots), F.create_map().cast("map<string,string>"))
+def rule_prompts(routed: DataFrame, roots: Mapping[str, Column], maps: Collection[str] = ()) -> DataFrame:
+    """Adds the judge prompt of every routed row: rendered messages, each after its role. ``maps`` names the roots that are
+    text maps; the others are JSON texts."""
+    values = F.coalesce(bind_variables(F.col("rule.variables"), roots, maps), F.create_map().cast("map<string,string>"))
     with_values = routed.withColumn("__values", values)
     lines = F.transform(
         F.col("rule.messages"),
@@ -129,20 +130,32 @@ def judge_scores(answered: DataFrame, keys: Sequence[str] = ("trace_id",)) -> Da
     """Score rows of judge answers, one per field of the rule's schema; what cannot be read is marked as failed."""
     fields = answered.withColumn("__field", F.explode("rule.schema"))
     text = F.try_element_at(F.from_json("answer", "map<string,string>"), F.col("__field.name"))
-    number = text.try_cast("double")
-    value = (
-        F.when(F.col("__field.type") == "BOOLEAN", F.when(text == "true", 1.0).when(text == "false", 0.0))
-        .when(F.col("__field.type") == "INTEGER", F.when(number == F.floor(number), number))
-        .otherwise(number)
-    )
+    value = json_scalar(text, F.col("__field.type"))
     return fields.select(
         *keys, F.col("rule.rule_id"), F.col("__field.name").alias("name"), value.alias("value"), value.isNull().alias("failed")
     )
 
 
+def _roots(items: DataFrame) -> tuple[dict[str, Column], set[str]]:
+    """Columns that a rule's paths may start from, texts and text maps, and which of them are maps."""
+    kinds = {f.name: f.dataType.simpleString() for f in items.schema}
+    found = {name: F.col(name) for name, kind in kinds.items() if kind in ("string", "map<string,string>")}
+    return found, {name for name in found if kinds[name] != "string"}
+
+
+def _rule_arguments(routed: DataFrame, spec: MetricSpec) -> dict[str, Column]:
+    """Arguments of a metric as each row's rule maps them. The spec's own mapping is the default, and the only one for
+    arguments that are not text."""
+    roots, maps = _roots(routed)
+    default = spec.bound(routed.columns)
+    kinds = dict(routed.select(*[c.alias(n) for n, c in default.items()]).dtypes)
+    given = {n: F.try_element_at(F.col("rule.arguments"), F.lit(n)) for n in default}
+    return {n: F.when(given[n].isNotNull(), json_path_of(roots, given[n], maps)).otherwise(c) if kinds[n] == "string" else c for n, c in default.items()}
+
+
 def metric_scores(routed: DataFrame, metrics: Mapping[str, MetricSpec], keys: Sequence[str] = ("trace_id",)) -> DataFrame:
-    """Score rows of metric rules. ``rule.metric`` names the metric; its arguments are the spec's."""
-    entries = [F.when(F.col("rule.metric") == name, spec.entry(routed.columns)) for name, spec in metrics.items()]
+    """Score rows of metric rules. ``rule.metric`` names the metric, ``rule.arguments`` maps its arguments to paths."""
+    entries = [F.when(F.col("rule.metric") == name, spec.entry(routed.columns, _rule_arguments(routed, spec))) for name, spec in metrics.items()]
     scored = routed.where(F.col("rule.metric").isin(list(metrics))).withColumn("__s", F.coalesce(*entries))
     return scored.select(
         *keys, F.col("rule.rule_id"), F.col("__s.name").alias("name"), F.col("__s.value").alias("value"),
@@ -163,8 +176,7 @@ def score_items(
     scored = metric_scores(routed, metrics, [item_id])
     if answer is None:
         return scored
-    roots = {c: F.col(c) for c in ("input", "output", "metadata") if c in items.columns and items.schema[c].dataType.typeName() == "string"}
-    prompted = rule_prompts(routed.where(F.col("rule.type").isin(JUDGE_TYPES)), roots)
+    prompted = rule_prompts(routed.where(F.col("rule.type").isin(JUDGE_TYPES)), *_roots(items))
     return scored.unionByName(judge_scores(judge(prompted, answer), [item_id]))
 
 

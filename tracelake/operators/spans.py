@@ -27,14 +27,15 @@ def span_tree(spans: DataFrame, orphans: str = "drop") -> DataFrame:
     """Adds ``root_span_id`` and ``depth``. Spans whose parent is absent are dropped with all below, or become roots.
 
     Each round doubles how far every span has jumped towards its root, so a tree of depth d takes about log2(d) joins
-    and no trace is ever gathered in one task. Rounds are written to the shared folder. Spans on a cycle have no root
+    and no trace is ever gathered in one task. A repeated span row gets its place each. Rounds are written to the shared folder. Spans on a cycle have no root
     and are left out, as a walk from the roots never meets them.
     """
     if orphans not in ("drop", "root"):
         raise ValueError("orphans must be drop or root")
     key = F.struct("trace_id", "span_id")
     parent = F.when(F.col("parent_span_id").isNotNull(), F.struct(F.col("trace_id"), F.col("parent_span_id").alias("span_id")))
-    edges = materialise(spans.select(key.alias("id"), parent.alias("jump")), "edges")
+    # a span delivered twice is one span; a delivery without its parent does not hide it
+    edges = materialise(spans.select(key.alias("id"), parent.alias("jump")).groupBy("id").agg(F.min("jump").alias("jump")), "edges")
     known = edges.select(F.col("id").alias("jump"), F.lit(True).alias("there"))
     linked = heavy_join(edges, known, "jump", "left", "id")
     if orphans == "root":
@@ -103,14 +104,12 @@ def trace_id_check(spans: DataFrame, approximate: bool = False) -> DataFrame:
 def assemble_traces(spans: DataFrame, tokens: Sequence[str] = ("input_tokens", "output_tokens")) -> DataFrame:
     """One trace per set of spans: fields of the root, time range and token sums of the whole tree.
 
-    All aggregates combine before the shuffle, so a trace with very many spans stays cheap.
+    Numbers of all spans are hash-aggregated and combine before the shuffle; only parentless spans, of which the first is the
+    root, carry their texts to the second aggregation.
     """
-    root = F.max_by(
-        F.struct("name", "input", "output", "thread_id", "tags"),
-        F.when(F.col("parent_span_id").isNull(), F.struct(-F.unix_micros(F.col("start_time").cast("timestamp")), F.col("span_id"))),
-    )
+    order = F.struct(-F.unix_micros(F.col("start_time").cast("timestamp")), F.col("span_id"))
+    roots = spans.where(F.col("parent_span_id").isNull()).groupBy("trace_id").agg(F.max_by(F.struct("name", "input", "output", "thread_id", "tags"), order).alias("r"))
     grouped = spans.groupBy("trace_id").agg(
-        root.alias("r"),
         F.min("start_time").alias("start_time"),
         F.max("end_time").alias("end_time"),
         F.count("*").alias("spans"),
@@ -118,4 +117,4 @@ def assemble_traces(spans: DataFrame, tokens: Sequence[str] = ("input_tokens", "
         F.sum(sum_usage(F.col("usage"))).alias("usage_total"),
         F.sum("cost").alias("cost"),
     )
-    return grouped.select("trace_id", "r.*", "start_time", "end_time", "spans", *tokens, "usage_total", "cost")
+    return grouped.join(roots, "trace_id", "left").select("trace_id", "r.*", "start_time", "end_time", "spans", *tokens, "usage_total", "cost")

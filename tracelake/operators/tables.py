@@ -45,8 +45,13 @@ def patch(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return base.join(renamed, key, "left").select(*merged)
 
 
-def next_version(prompts: DataFrame, name: str = "name", created: str = "created_at", ties: Sequence[str] = ()) -> DataFrame:
-    """Number the rows of each name from 1 in order of creation; a name used very often is spread over many tasks."""
+def next_version(prompts: DataFrame, name: str = "name", created: str = "created_at", *, ties: Sequence[str]) -> DataFrame:
+    """Number the rows of each name from 1 in order of creation; a name used very often is spread over many tasks.
+
+    ``ties`` tell rows created at one moment apart, so that versions don't depend on how rows are partitioned.
+    """
+    if not ties:
+        raise ValueError("versions need a total order: name the columns that tell rows of one moment apart")
     numbered = ordered_total(prompts, F.col(created), ties, "__before", [name])
     return numbered.withColumn("version", F.col("__before") + 1).drop("__before")
 

@@ -41,21 +41,22 @@ def thread_sessions(traces: DataFrame, gap: str = "30 minutes", part: str = "day
 
 
 def thread_parts(
-    turns: DataFrame, thread: str = "thread_id", order: str = "turn", text: str = "text", size: int = 200
+    turns: DataFrame, size: int, thread: str = "thread_id", order: str = "turn", text: str = "text"
 ) -> DataFrame:
-    """Whole conversations in order, as parts of at most ``size`` turns each.
+    """Whole conversations in order, as parts of at most ``size`` turns each, with the number of ``parts``. Turns of one
+    place follow each other by text.
 
     Turns are numbered through buckets and only a part is gathered at once, so one endless conversation neither fills a
     task nor is cut short; nearly every conversation is a single part.
     """
     numbered = ordered_total(turns, F.col(order), [text], "__index", [thread])
     part = F.floor(F.col("__index") / size).cast("int")
-    entries = F.array_sort(F.collect_list(F.struct("__index", text)))
+    entries = F.array_sort(F.collect_list(F.struct(F.col(order).alias("__order"), F.col(text))))
     grouped = numbered.groupBy(thread, part.alias("part")).agg(entries.alias("__turns"))
     return grouped.select(
         thread, "part", F.size("__turns").alias("turns"),
         F.array_join(F.transform("__turns", lambda t: t[text]), "\n").alias("conversation"),
-    )
+    ).withColumn("parts", F.count("*").over(Window.partitionBy(thread)))
 
 
 def combine_parts(scores: DataFrame, thread: str = "thread_id") -> DataFrame:

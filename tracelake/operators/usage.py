@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,11 +36,12 @@ def with_project_name(df: DataFrame, projects: DataFrame) -> DataFrame:
 
 def _in_window(df: DataFrame, start: date | datetime | None, end: date | datetime | None) -> DataFrame:
     kind = df.schema["start_time"].dataType
-    bounds = [moment(b, kind) if isinstance(b, datetime) else F.lit(b) for b in (start, end)]
     if start is not None:
-        df = df.where(F.col("start_time") >= bounds[0])
-    if end is not None:
-        df = df.where(F.col("start_time") <= bounds[1])
+        df = df.where(F.col("start_time") >= (moment(start, kind) if isinstance(start, datetime) else F.lit(start)))
+    if isinstance(end, datetime):
+        df = df.where(F.col("start_time") <= moment(end, kind))
+    elif end is not None:  # a date is its whole day
+        df = df.where(F.col("start_time") < F.lit(end + timedelta(days=1)))
     return df.where(F.col("project_id").isNotNull())
 
 

@@ -60,14 +60,16 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tree(spark: SparkSession, root: str) -> DataFrame:
-    """Files below a root as ``(folder, path, text)``, where ``folder`` is the first level and ``path`` is within it."""
+    """Files below a root as ``(folder, path, text)``, where ``folder`` is the first level and ``path`` is within it. Bytes that
+    are no UTF-8 become the replacement character."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    base = root.rstrip("/").rsplit("/", 1)[-1]
-    inner = F.regexp_extract("path", rf"/{base}/(.*)$", 1)
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    inner = F.substring("path", len(whole) + 2, 1 << 30)
     return files.select(
         F.substring_index(inner, "/", 1).alias("folder"),
         F.regexp_extract(inner, r"^[^/]+/(.*)$", 1).alias("path"),
-        F.try_validate_utf8(F.col("content").cast("string")).alias("text"),
+        F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
     ).where(F.col("path") != "")
 
 

@@ -39,4 +39,4 @@ def save_result(df: DataFrame, path: str, replace: bool = False) -> None:
 
 
 def write_catalogue(catalogue: DataFrame, path: str) -> None:
-    catalogue.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    catalogue.write.mode("overwrite").option("header", True).csv(path)
