@@ -30,6 +30,18 @@ def topk_cosine(t: Tables) -> DataFrame:
     return retrieval.topk_similar(t.label_queries, _corpus(t), 5)
 
 
+@query(
+    "topk_many",
+    """SELECT query_id, id, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS rank FROM (
+      SELECT q.vec_id AS query_id, e.vec_id AS id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS similarity
+      FROM embeddings q, embeddings e)) WHERE rank <= 3""",
+)
+def topk_many(t: Tables) -> DataFrame:
+    """Every vector as a query, in several blocks."""
+    every = t.table("embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
+    return retrieval.topk_similar(every, _corpus(t), 3, block=200).select("query_id", "id", "rank")
+
+
 @query(
     "topk_today",
     "SELECT query_id, id, rank::INTEGER AS rank FROM ranked WHERE rank <= 20 AND id % 5 = 2",

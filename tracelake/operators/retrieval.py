@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from datetime import date
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracelake.distribution import ordered_total, shuffled_index
+from tracelake.distribution import ordered_total
 from tracelake.functions.dates import created_on
 from tracelake.functions.text import ellipsis, word_chunks, word_count
 from tracelake.operators import tables
@@ -24,8 +23,9 @@ EMBED_BATCH = 16
 TOP_K = 5
 TODAY_CANDIDATES = 20
 
-# Most query vectors held by a task at once; more are answered in several passes over the corpus.
+# Query and corpus vectors of a block, two of which a task compares at once.
 QUERY_BLOCK = 4096
+CORPUS_BLOCK = 50_000
 
 # Most scores a task holds at once. Also bounds the candidates when very many corpus rows are copies of each other.
 SCORE_CELLS = 1_000_000
@@ -82,53 +82,56 @@ def topk_similar(
 ) -> DataFrame:
     """Exact ``k`` most similar corpus vectors per query, with similarity, distance and rank.
 
-    Each task multiplies its share of the corpus with the queries and keeps its own ``k`` best, so only
-    tasks x queries x k rows are shuffled and no pair table exists. The corpus is read where it lies. Queries are held in
-    blocks of bounded size; more of them mean more passes, never fewer results. Scores are compared rounded to ``digits``
-    and ties go to the smaller id, so results do not depend on how rows are batched. Zero vectors have no direction and
-    are no one's neighbours.
+    Queries and corpus are dealt into blocks of bounded size that meet in a grid, by an equi join on the block numbers. A
+    cell multiplies its two blocks and gives out its own ``k`` best per query; no vector passes through the driver, only
+    the two counts that set the number of blocks. Scores are compared rounded to ``digits`` and ties go to the smaller id,
+    so results do not depend on how rows are dealt. Vectors that are null have no neighbours and are none, zero vectors
+    have no direction, and vectors of different lengths are not compared. A query id given twice is asked once, with the
+    smaller vector.
     """
+    kept = [doc_id, *payload]
     asked = queries.where(F.col("embedding").isNotNull()).groupBy(query_id).agg(F.min("embedding").alias("embedding"))
-    corpus = corpus.where(F.col("embedding").isNotNull())
-    total = asked.count()
-    blocks = max(1, -(-total // block))
-    if blocks > 1:
-        asked = materialise(shuffled_index(asked, query_id, "block", "__position"), "queries")
-    else:
-        asked = asked.withColumn("__position", F.lit(0))
-    slot = F.floor(F.col("__position") / block)
-    parts = [_block_hits(asked.where(slot == i), corpus, k, query_id, doc_id, list(payload), digits, block) for i in range(blocks)]
+    searched = corpus.where(F.col("embedding").isNotNull()).select(*kept, "embedding")
+    query_blocks = max(1, -(-asked.count() // block))
+    corpus_blocks = max(queries.sparkSession.sparkContext.defaultParallelism, -(-searched.count() // CORPUS_BLOCK))
+    asked = _gridded(asked, query_id, "__q", query_blocks, "__c", corpus_blocks)
+    searched = _gridded(searched, doc_id, "__c", corpus_blocks, "__q", query_blocks)
+    cell = ["__q", "__c", "__size"]
+    fields = [queries.schema[query_id], *[corpus.schema[c] for c in kept], T.StructField("similarity", T.DoubleType())]
+    nearest = _cell_hits(k, query_id, doc_id, list(payload), digits)
+    hits = asked.groupBy(*cell).cogroup(searched.groupBy(*cell)).applyInPandas(nearest, T.StructType(fields))
     best = Window.partitionBy(query_id).orderBy(F.col("similarity").desc(), F.col(doc_id))
-    hits = reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return hits.withColumn("distance", F.round(1.0 - F.col("similarity"), digits))
+    ranked = hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.withColumn("distance", F.round(1.0 - F.col("similarity"), digits))
 
 
-def _block_hits(
-    queries: DataFrame, corpus: DataFrame, k: int, query_id: str, doc_id: str, payload: list[str], digits: int, block: int
-) -> DataFrame:
-    rows = queries.select(query_id, "embedding").take(block)
-    names = np.array([r[0] for r in rows], dtype=object)
-    matrix = np.array([r[1] for r in rows], dtype="float64").reshape(len(rows), len(rows[0][1]) if rows else 0)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-    shared = queries.sparkSession.sparkContext.broadcast((names, matrix))
+def _gridded(df: DataFrame, ident: str, own: str, blocks: int, other: str, copies: int) -> DataFrame:
+    """Rows in a block of their own, once for each block of the other side."""
+    dealt = df.withColumn(own, F.pmod(F.xxhash64(ident), F.lit(blocks)).cast("int")).withColumn("__size", F.size("embedding"))
+    return dealt.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+
+
+def _cell_hits(k: int, query_id: str, doc_id: str, payload: list[str], digits: int):
     kept = [doc_id, *payload]
     order, up = [query_id, "similarity", doc_id], [True, False, True]
 
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, matrix = shared.value
-        best = None
-        rows = max(k, SCORE_CELLS // max(len(names), 1))
-        for batch in batches:
-            for start in range(0, len(batch) if len(names) else 0, rows):
-                found = _candidates(batch.iloc[start : start + rows], names, matrix, k, query_id, kept, digits)
-                merged = found if best is None else pd.concat([best, found])
-                best = merged.sort_values(order, ascending=up).groupby(query_id, sort=False).head(k)
-        if best is not None:
-            yield best[[query_id, *kept, "similarity"]]
-
-    fields = [queries.schema[query_id], *[corpus.schema[c] for c in kept], T.StructField("similarity", T.DoubleType())]
-    return corpus.select(*kept, "embedding").mapInPandas(nearest, T.StructType(fields))
+    def nearest(asked: pd.DataFrame, searched: pd.DataFrame) -> pd.DataFrame:
+        best = pd.DataFrame({c: pd.Series(dtype=(searched if c in kept else asked).get(c, pd.Series(dtype="float64")).dtype) for c in [query_id, *kept, "similarity"]})
+        if not len(asked) or not len(searched):
+            return best
+        names = asked[query_id].to_numpy(dtype=object)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            matrix = np.stack(asked["embedding"].to_numpy()).astype("float64")
+            matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+        rows = max(k, SCORE_CELLS // len(names))
+        parts = []
+        for start in range(0, len(searched), rows):
+            parts.append(_candidates(searched.iloc[start : start + rows], names, matrix, k, query_id, kept, digits))
+            merged = pd.concat(parts)
+            parts = [merged.sort_values(order, ascending=up).groupby(query_id, sort=False).head(k)]
+        return parts[0][[query_id, *kept, "similarity"]]
+
+    return nearest
 
 
 def _candidates(batch: pd.DataFrame, names: np.ndarray, matrix: np.ndarray, k: int, query_id: str, kept: list[str], digits: int) -> pd.DataFrame:
