@@ -170,7 +170,7 @@ def test_assignment_is_idempotent(spark, items, tmp_path):
     chosen = A.enqueue_stream(stream, "review", F.col("project_id") == "1")
     for state in ("s1", "s2"):
         A.write_assignments(chosen, str(tmp_path / "out"), str(tmp_path / state)).awaitTermination()
-    assert rows(spark.read.parquet(str(tmp_path / "out"))) == sorted((("review", f"t{i}") for i in range(1, 12, 2)), key=repr)
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "queue", "trace_id") == sorted((("review", f"t{i}") for i in range(1, 12, 2)), key=repr)
 
 
 def test_sessions_split_at_gaps(spark):

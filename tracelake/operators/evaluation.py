@@ -53,9 +53,10 @@ def run_task(items: DataFrame, task: Callable[[pd.DataFrame], pd.Series]) -> Dat
 def evaluate(items: DataFrame, outputs: DataFrame, metrics: Sequence[MetricSpec], on: Sequence[str] = ("item_id",)) -> DataFrame:
     """Score every output of every experiment: one equi join, then metrics as columns of the same row.
 
-    An item may have very many outputs, so its key is spread over several tasks.
+    An item may have very many outputs, so its key is spread over several tasks, each output by itself.
     """
-    joined = spread_join(outputs, items, list(on), "inner", "experiment_id")
+    spread = outputs.withColumn("__output", F.xxhash64("experiment_id", *on, F.to_json(F.struct(*outputs.columns))))
+    joined = spread_join(spread, items, list(on), "inner", "__output").drop("__output")
     return score_long(joined, metrics, ["experiment_id", *on])
 
 
@@ -157,11 +158,12 @@ def leaderboard(
 
 
 def sample_items(items: DataFrame, trials: int = MAX_TRIALS, n: int = SAMPLES_PER_TRIAL, item_id: str = "item_id") -> DataFrame:
-    """``n`` items for each trial, drawn by a seeded shuffle; other rows never leave their task."""
-    drawn = items.withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(trials))))
+    """``n`` items for each trial, drawn by a seeded shuffle of their ids; only drawn items are read with their texts."""
+    drawn = items.select(item_id, F.explode(F.sequence(F.lit(1), F.lit(trials))).alias("trial"))
     key = seeded_key(F.concat_ws(":", F.col("trial"), F.col(item_id)), "trial")
     order = Window.partitionBy("trial").orderBy(key, item_id)
-    return drawn.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= n).drop("__n")
+    chosen = drawn.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= n).drop("__n")
+    return items.join(chosen.distinct(), item_id).select(*items.columns, "trial")
 
 
 def score_trials(trials: DataFrame, metric: MetricSpec) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from datetime import date
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -90,19 +91,23 @@ def enqueue_stream(stream: DataFrame, queue: str, predicate: Column) -> DataFram
 
 
 def write_assignments(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append assignments that are not there yet, so that a batch delivered again changes nothing."""
+    """Append assignments that are not there yet, so that a batch delivered again changes nothing.
+
+    The table is partitioned by queue, and a batch reads only the partitions of its own queues.
+    """
 
     def add(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         fresh = batch.distinct()
         try:
             known = spark.read.schema(batch.schema).parquet(path)
-        except Exception as error:  # noqa: BLE001 - the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:  # the first batch finds no table
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
         else:
-            fresh = fresh.join(known, ["queue", "trace_id"], "left_anti")
-        fresh.write.mode("append").parquet(path)
+            queues = [r[0] for r in fresh.select("queue").distinct().collect()]  # as many as the job has queues
+            fresh = fresh.join(known.where(F.col("queue").isin(queues)), ["queue", "trace_id"], "left_anti")
+        fresh.write.mode("append").partitionBy("queue").parquet(path)
 
     return rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

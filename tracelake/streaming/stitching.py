@@ -6,24 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def stitch_stream(spans: DataFrame, dispatches: DataFrame, timeout: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
+def stitch_stream(spans: DataFrame, dispatches: DataFrame, timeout: str = "1 hour", watermark: str = "10 minutes", skew: str = "1 minute") -> DataFrame:
     """Attach parentless spans to the dispatch of their session, whichever of the two arrives first.
 
     ``dispatches`` has ``session_id, trace_id, dispatch_span_id, dispatch_time``. State is a stream-stream join by
-    session that both watermarks and the timeout bound; a span whose dispatch never comes is given out unattached.
+    session that both watermarks and the timeout bound; a span whose dispatch never comes is given out unattached. Spans
+    with a parent pass straight through and are never held. Clocks may differ by ``skew``: a span may start that much
+    before its dispatch.
     """
-    left = spans.withWatermark("start_time", watermark)
+    left = spans.where(F.col("parent_span_id").isNull()).withWatermark("start_time", watermark)
     right = dispatches.select(
         F.col("session_id").alias("__session"),
         F.col("trace_id").alias("__trace"),
         F.col("dispatch_span_id").alias("__parent"),
         "dispatch_time",
     ).withWatermark("dispatch_time", watermark)
-    due = F.expr(f"start_time BETWEEN dispatch_time AND dispatch_time + INTERVAL {timeout}")
-    joined = left.join(right, (F.col("session_id") == F.col("__session")) & F.col("parent_span_id").isNull() & due, "leftOuter")
+    due = F.expr(f"start_time BETWEEN dispatch_time - INTERVAL {skew} AND dispatch_time + INTERVAL {timeout}")
+    joined = left.join(right, (F.col("session_id") == F.col("__session")) & due, "leftOuter")
     attach = F.col("__parent").isNotNull()
     changed = {
         "trace_id": F.when(attach, F.col("__trace")).otherwise(F.col("trace_id")),
         "parent_span_id": F.when(attach, F.col("__parent")).otherwise(F.col("parent_span_id")),
     }
-    return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in spans.columns])
+    stitched = joined.select(*[changed.get(c, F.col(c)).alias(c) for c in spans.columns])
+    return stitched.unionByName(spans.where(F.col("parent_span_id").isNotNull()))
