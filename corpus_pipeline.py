@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake.llm import decontamination, mixing, near_dup, quality, toxicity
-from tracelake.llm.common import table
-from tracelake.llm.labelled import SCORE
+from tracelake.llm.common import free_name, table
 from tracelake.session import configure, materialise
 
 #: A document is of quality, or toxic, from this probability on.
@@ -16,14 +15,16 @@ THRESHOLD = 0.3
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model does not reject."""
-    scored = quality.with_quality(docs, table(spark, sf_dir, "labels"))
-    return scored.where(F.col(SCORE) >= THRESHOLD).select(*docs.columns)
+    score = free_name(docs, "__score")
+    scored = quality.with_quality(docs, table(spark, sf_dir, "labels"), score_col=score)
+    return scored.where(F.col(score) >= THRESHOLD).drop(score)
 
 
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity field does not reject."""
-    scored = toxicity.with_toxicity(docs, table(spark, sf_dir, "labels"), spans=False)
-    return scored.where(F.col(SCORE) < THRESHOLD).select(*docs.columns)
+    score = free_name(docs, "__score")
+    scored = toxicity.with_toxicity(docs, table(spark, sf_dir, "labels"), score_col=score, spans=False)
+    return scored.where(F.col(score) < THRESHOLD).drop(score)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,6 +100,16 @@ def test_stages_keep_clean_documents_and_drop_the_rest(spark, tmp_path):
     assert {r.doc_id for r in mix.collect()} <= set(kept)
 
 
+def test_stages_take_odd_columns_and_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", "1 AS __score", "'x' AS `a.b`", "2 AS __id", "3 AS component_id")
+    for frame in (docs.where("doc_id < 40"), docs.limit(0)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, frame, SF)
+            assert out.columns == docs.columns
+            assert out.count() <= frame.count()
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), SF).count() == 0
+
+
 def brute_leaks_fast(kept, bench):
     """``brute_leaks`` for the few pairs that share three tokens in a row."""
     import regex

@@ -27,6 +27,19 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(LOWER).split() if text else []
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of a frame, whatever their names hold."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name like the wanted one that the frame does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracelake.llm.common import small_batches
 from tracelake.session import materialise
 
 SCORE = "__score"
@@ -35,6 +38,10 @@ def learning_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str,
     return materialise(bounded_sample(known, 0, bound).unionByName(bounded_sample(known, 1, bound)), "learning"), counts
 
 
-def with_score(docs: DataFrame) -> T.StructType:
-    """Schema of ``docs`` with a score beside."""
-    return T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())])
+def with_scores(docs: DataFrame, text_col: str, scorer: Callable, added: Sequence[T.StructField]) -> DataFrame:
+    """``docs`` with the columns that ``scorer(name of the text column)`` adds to Arrow batches. Inside, columns have plain
+    names, for theirs may hold anything."""
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    fields = [T.StructField(n, f.dataType) for n, f in zip(plain, docs.schema.fields, strict=True)]
+    rows = small_batches(docs.toDF(*plain)).mapInArrow(scorer(plain[docs.columns.index(text_col)]), T.StructType([*fields, *added]))
+    return rows.toDF(*docs.columns, *[f.name for f in added])

@@ -15,9 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracelake.llm.common import small_batches
-from tracelake.llm.labelled import SCORE, learning_sample, remainder, with_score
+from tracelake.llm.labelled import SCORE, learning_sample, remainder, with_scores
 
 FEATURES = (
     "log_words", "word_length", "upper_share", "symbol_share", "digit_share", "symbol_word_share", "symbol_tail_share", "repeat_share",
@@ -198,11 +199,11 @@ def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
     return model
 
 
-def _scorer(model: AdditiveModel, text_col: str):
+def _scorer(model: AdditiveModel, text_col: str, score_col: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([text_features(t) for t in batch.column(text_col).to_pylist()], float).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], [*batch.schema.names, SCORE])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], [*batch.schema.names, score_col])
 
     return score
 
@@ -223,14 +224,16 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: s
     return model
 
 
-def with_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", parts: int = 5, held: int = 0) -> DataFrame:
-    """``docs`` with the probability of label 1 in column ``SCORE``; no document crosses a shuffle.
+def with_quality(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", parts: int = 5, held: int = 0, score_col: str = SCORE
+) -> DataFrame:
+    """``docs`` with the probability of label 1 in ``score_col``, which they must not have; no document crosses a shuffle.
 
     Only what the whole text shows is an input. Null and empty texts get a score too; without labels all scores are 0.5;
     repeated rows are kept; other columns pass unread, whatever their names.
     """
     model = fitted(docs, labels, label, id_col, text_col, parts, held)
-    return small_batches(docs).mapInArrow(_scorer(model, text_col), with_score(docs))
+    return with_scores(docs, text_col, lambda text: _scorer(model, text, score_col), [T.StructField(score_col, T.DoubleType())])
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, threshold: float = 0.3, **columns: str) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -17,24 +17,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracelake.llm.common import small_batches
-from tracelake.llm.labelled import SCORE, learning_sample, remainder, with_score
+from tracelake.llm.labelled import SCORE, learning_sample, remainder, with_scores
 
 #: Labelled documents of each class that tokens are labelled in, the tokens of a training chain, and the chains of each kind.
 SAMPLE = 2_000
 CHAIN = 100
 CHAINS = 4_000
-#: A token's key marks toxicity if it occurs in at least so many toxic documents of the sample and at least so many times
-#: as often, by share, as in others.
-LEAST_DOCS = 3
+#: A token's key marks toxicity if toxic documents of the sample hold it at least so many times as often, by share, as
+#: others, and if its documents would fall so by chance with a log probability below the negative of this. A sample holds
+#: hundreds of thousands of keys, most of them rare.
 RATIO = 20.0
+SURPRISE = 13.0
 SLOTS = 1 << 18
-KEYS = 6
+KEYS = 8
 EPOCHS = 4
 RATE = 0.3
 #: Tokens that a sweep of the field handles as one piece, and how far pieces overlap.
 PIECE = 96
 MARGIN = 12
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 500_000
 SPANS = "__spans"
 TOKEN = regex.compile(rb"[^\x20\x09-\x0D]+")
 _EDGES = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
@@ -42,22 +43,24 @@ _EDGES = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 
 def core(word: bytes) -> str:
     """Lower-cased token without the signs around it."""
-    return _EDGES.sub("", word.decode("utf-8", "replace").lower())
+    inner = word.decode("utf-8", "replace").lower().strip(string.punctuation)
+    return inner if inner[:1].isalnum() and inner[-1:].isalnum() else _EDGES.sub("", inner)
 
 
-@lru_cache(REMEMBERED_WORDS)
 def keys_of(word: bytes) -> list[str]:
-    """What the field sees of a token: its core, beginnings, end and shape."""
+    """What the field sees of a token: its core, beginnings and end, and that it is a token, so that unknown ones are taken
+    for what most tokens are."""
     inner = core(word)
-    found = [f"w={inner}", f"4={inner[:4]}", f"5={inner[:5]}", f"6={inner[:6]}", f"e={inner[-4:]}"] if inner else ["none"]
-    return [*found, f"s={min(len(inner), 12)}"]
+    if not inner:
+        return ["none", "token"]
+    return [f"w={inner}", f"e={inner[-4:]}", *[f"{n}={inner[:n]}" for n in (4, 5, 6, 7, 8)], "token"]
 
 
 class _Slots(dict):
     """Hashed feature slots of tokens, remembered."""
 
     def __missing__(self, word: bytes) -> list[int]:
-        slots = [xxhash.xxh32_intdigest(k.encode("utf-8", "surrogatepass")) % SLOTS for k in keys_of(word)]
+        slots = [xxhash.xxh32_intdigest(k) % SLOTS for k in keys_of(word)]
         self[word] = value = (slots + [SLOTS] * KEYS)[:KEYS]  # the last slot weighs nothing
         return value
 
@@ -110,9 +113,17 @@ class Field:
 
 def toxic_keys(toxic: list[list[bytes]], clean: list[list[bytes]]) -> set[str]:
     """Keys that toxic documents hold far more often than others: they label the tokens that carry them."""
-    hits, misses = (Counter(k for words in docs for k in {k for w in set(words) for k in keys_of(w)}) for docs in (toxic, clean))
-    fold = (len(clean) + 1) / (len(toxic) + 1)
-    return {k for k, n in hits.items() if n >= LEAST_DOCS and n * fold >= RATIO * (misses[k] + 0.5) and not k.startswith(("s=", "none"))}
+    known: dict[bytes, list[str]] = {}
+    for words in chain(toxic, clean):
+        known.update((w, keys_of(w)) for w in words if w not in known)
+    hits, misses = (Counter(k for words in docs for k in {k for w in set(words) for k in known[w]}) for docs in (toxic, clean))
+    share = (len(toxic) + 1) / (len(toxic) + len(clean) + 2)
+
+    def surprise(n: int, m: int) -> float:
+        return n * np.log(n / (n + m) / share) + (m * np.log(m / (n + m) / (1 - share)) if m else 0.0)
+
+    often = {k: n for k, n in hits.items() if n * (1 - share) >= RATIO * misses[k] * share and k not in ("token", "none")}
+    return {k for k, n in often.items() if surprise(n, misses[k]) >= SURPRISE}
 
 
 def fit(toxic: list[list[bytes]], clean: list[list[bytes]]) -> Field:
@@ -127,7 +138,7 @@ def fit(toxic: list[list[bytes]], clean: list[list[bytes]]) -> Field:
         field.shift, field.scale = float(np.log((len(toxic) + 1) / (len(clean) + 1))), 0.0
         return field
     marked, slots = toxic_keys(toxic, clean), _Slots()
-    carries = {w: not marked.isdisjoint(keys_of(w)) for words in toxic for w in words}
+    carries = {w: not marked.isdisjoint(keys_of(w)) for w in {w for words in toxic for w in words}}
     chains = []
     for words, is_toxic in [*((w, True) for w in toxic), *((w, False) for w in clean)]:
         for low in range(0, len(words), CHAIN):
@@ -180,11 +191,11 @@ class _Weights(dict):
 
     def __init__(self, field: Field) -> None:
         super().__init__()
-        self.field = field
+        self.emit = field.emit.tolist()
 
     def __missing__(self, word: bytes) -> float:
-        slots = [xxhash.xxh32_intdigest(k.encode("utf-8", "surrogatepass")) % SLOTS for k in keys_of(word)]
-        self[word] = value = float(self.field.emit[slots].sum())
+        emit = self.emit
+        self[word] = value = sum([emit[xxhash.xxh32_intdigest(k) % SLOTS] for k in keys_of(word)])
         return value
 
 
@@ -218,7 +229,7 @@ def batch_evidence(field: Field, docs: list[list[bytes]], weights: _Weights) ->
     return np.log(1e-3 + np.clip(total, 0, 3.0)), [marginals[e - n : e] for e, n in zip(ends, lengths, strict=True)]
 
 
-def _scorer(field: Field, text_col: str, with_spans: bool):
+def _scorer(field: Field, text_col: str, score_col: str, with_spans: bool):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = _Weights(field)
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -229,7 +240,7 @@ def _scorer(field: Field, text_col: str, with_spans: bool):
             evidence, marginals = batch_evidence(field, [r.split() for r in raw], weights)
             scores = 1 / (1 + np.exp(-(field.scale * evidence + field.shift)))
             spans = [pa.array([_spans(text, found) for text, found in zip(raw, marginals, strict=True)], kind)] if with_spans else []
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores), *spans], [*batch.schema.names, SCORE, *[SPANS] * with_spans])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores), *spans], [*batch.schema.names, score_col, *[SPANS] * with_spans])
 
     return score
 
@@ -261,20 +272,19 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str
 
 
 def with_toxicity(
-    docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", parts: int = 4, held: int = 2, spans: bool = True
-) -> DataFrame:
-    """``docs`` with the probability of label 1 in column ``SCORE`` and, unless turned off, the character offsets of offending
-    passages in ``SPANS``; no document crosses a shuffle.
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", parts: int = 4, held: int = 2,
+    score_col: str = SCORE, spans: bool = True,
+) -> DataFrame:
+    """``docs`` with the probability of label 1 in ``score_col`` and, unless turned off, the character offsets of offending
+    passages in ``SPANS``, neither of which they may have; no document crosses a shuffle.
 
     Only the text is an input, and every token of the whole text gets its marginal. Null and empty texts get the score of a
     text without evidence; without both labels all scores are the same; repeated rows are kept; other columns pass unread,
     whatever their names.
     """
     field = fitted(docs, labels, label, id_col, text_col, parts, held)
-    schema = with_score(docs)
-    if spans:
-        schema = schema.add(SPANS, T.ArrayType(T.StructType.fromDDL("start long, end long")))
-    return small_batches(docs).mapInArrow(_scorer(field, text_col, spans), schema)
+    added = [T.StructField(score_col, T.DoubleType()), T.StructField(SPANS, T.ArrayType(T.StructType.fromDDL("start long, end long")))]
+    return with_scores(docs, text_col, lambda text: _scorer(field, text, score_col, spans), added[: 1 + spans])
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, parts: int = 4, held: int = 2, threshold: float = 0.3, **columns: str) -> DataFrame:
