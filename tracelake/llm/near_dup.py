@@ -3,7 +3,9 @@
 A document is its set of distinct five-word shingles. Sets are embedded by ``COORDINATES`` minwise values. Each of
 ``TREES`` independent trees deals the sets into nodes by the minwise token at a few selected coordinates; a node too large to
 compare is branched again by coordinates that its own path selects, and small nodes are compared exhaustively. Links are
-confirmed on full sets.
+confirmed on full sets. Before that, the first member of each node, and of each node at the end of some longer paths, is
+compared with the others: members of a large family mostly come together there, at a cost in proportion to its size, and
+only nodes that still hold several groups go on.
 
 Recall: two sets of similarity s share the token of a coordinate with probability s. At 0.75 they miss all 12 nodes of the
 first level with probability 6e-8, and in nodes that go on branching in two, one tree loses them with probability 0.11, all
@@ -22,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import lower_words, small_batches
+from tracelake.llm.common import columns_of, lower_words, small_batches
 from tracelake.session import materialise
 
 SHINGLE = 5
@@ -30,9 +32,12 @@ PERCENT = 75
 COORDINATES = 64
 TREES = 6
 BRANCHES = 2
+#: Longer paths whose ends only bring very similar sets together, and the coordinates of each.
+LONG_PATHS = 8
+LONG = 3
 #: A node is compared by one task if it has at most so many sets and shingles in all.
-NODE_SETS = 400
-NODE_SHINGLES = 1_000_000
+NODE_SETS = 3_000
+NODE_SHINGLES = 4_000_000
 #: Levels of branching; what is still large then is compared in blocks, so depth costs time and loses nothing.
 LEVELS = 8
 #: Coordinates that must agree before full sets are fetched: half of them, where 0.75 is asked for.
@@ -110,24 +115,25 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles of each text, once for each content that a task meets."""
+    """Shingles of each text under the ``sid`` it belongs to, once for each that a task meets."""
     known, met = _WordHashes(), set()
     with np.errstate(over="ignore"):
         for batch in batches:
             values, sizes = _sets(batch.column("__text").to_pylist(), known)
-            first, second = _digests(values, sizes)
-            keys = list(zip(first.to_pylist(), second.to_pylist(), strict=True))
+            digests = [d.to_numpy() for d in _digests(values, sizes)]
+            own = (digests[0] == batch.column("d1").to_numpy()) & (digests[1] == batch.column("d2").to_numpy())  # not another text of that id
+            sids = batch.column("sid").to_pylist()
             new = []
-            for i, key in enumerate(keys):
-                if key not in met:
-                    met.add(key)
+            for i in np.flatnonzero(own).tolist():
+                if sids[i] not in met:
+                    met.add(sids[i])
                     new.append(i)
             ends = np.concatenate([[0], np.cumsum(sizes)])
             for lot in [new[i : i + 64] for i in range(0, len(new), 64)]:
                 part = [values[ends[i] : ends[i + 1]].view(np.int64) for i in lot]
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p in part])]).astype(np.int32)
                 items = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(part)))
-                yield pa.RecordBatch.from_arrays([first.take(pa.array(lot)), second.take(pa.array(lot)), items], ["d1", "d2", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array([sids[i] for i in lot], pa.int64()), items], ["sid", "items"])
 
 
 def connected(edges: DataFrame, name: str) -> DataFrame:
@@ -221,45 +227,56 @@ def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _node_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of each node compared on full sets; links that join its groups, as few as connect them."""
+    """Links between the groups of each node, as few as connect them: a set is compared on full sets with all later ones it
+    agrees with, unless they are of its group already."""
     for rows, bounds in _nodes_in(batches):
         groups = rows.column("grp").to_numpy()
+        minima = rows.column("minima").chunk(0).flatten().to_numpy().reshape(-1, COORDINATES)
         lists = rows.column("items").chunk(0)
-        values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        values, offsets = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
         found: list[tuple[int, int]] = []
         for start, end in bounds:
-            sizes = np.diff(offsets[start : end + 1])
-            _, places = np.unique(values[offsets[start] : offsets[end]], return_inverse=True)
-            owner = np.repeat(np.arange(end - start), sizes)
-            common = np.zeros((end - start, end - start), np.int64)
-            order = np.argsort(places, kind="stable")
-            places, owner = places[order], owner[order]
-            for low in range(0, int(places[-1]) + 1 if len(places) else 0, 4096):
-                a, b = np.searchsorted(places, [low, low + 4096])
-                marks = np.zeros((end - start, 4096), np.float32)
-                marks[owner[a:b], places[a:b] - low] = 1
-                common += (marks @ marks.T).astype(np.int64)
-            linked = 100 * common >= PERCENT * (sizes[:, None] + sizes[None, :] - common)
-            found.extend(_joining(groups[start:end], linked))
+            sets = [values[offsets[i] : offsets[i + 1]] for i in range(start, end)]
+            found.extend(_joined(groups[start:end].copy(), minima[start:end], sets))
         yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
-def _joining(groups: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of groups that connect all groups the links connect."""
-    out, root = [], {g: g for g in groups.tolist()}
+def _joined(groups: np.ndarray, minima: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of groups of one node that links bring together."""
+    out: list[tuple[int, int]] = []
+    sizes = np.array([len(s) for s in sets])
+    shared = None
+    for i in range(len(groups) - 1):
+        near = ((minima[i + 1 :] == minima[i]).sum(axis=1) >= AGREEING) & (groups[i + 1 :] != groups[i])
+        at = np.flatnonzero(near) + i + 1
+        at = at[100 * np.minimum(sizes[at], sizes[i]) >= PERCENT * np.maximum(sizes[at], sizes[i])]
+        if not len(at):
+            continue
+        shared = shared or _Postings(sets, sizes)
+        common = shared.common(i)[at]
+        for j in at[100 * common >= PERCENT * (sizes[at] + sizes[i] - common)].tolist():
+            if groups[i] != groups[j]:
+                first, second = sorted((int(groups[i]), int(groups[j])))
+                groups[groups == second] = first
+                out.append((first, second))
+    return out
 
-    def top(g):
-        while root[g] != g:
-            g = root[g]
-        return g
 
-    linked &= groups[:, None] < groups[None, :]
-    for i, j in zip(*np.nonzero(linked), strict=True):
-        a, b = top(int(groups[i])), top(int(groups[j]))
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            out.append((a, b))
-    return out
+class _Postings:
+    """Which sets of a node hold each shingle, to count a set's common shingles with all others in one sweep."""
+
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray) -> None:
+        _, self.shingle, self.counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        self.holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(self.shingle, kind="stable")]
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.ends = np.cumsum(sizes)
+        self.sizes = sizes
+
+    def common(self, i: int) -> np.ndarray:
+        own = self.shingle[self.ends[i] - self.sizes[i] : self.ends[i]]
+        counts = self.counts[own]
+        places = np.repeat(self.starts[own] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        return np.bincount(self.holders[places], minlength=len(self.sizes))
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
@@ -288,8 +305,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = sketches.where("n > 0").groupBy(*kinds).agg(F.min("id").alias("least"), F.first("minima").alias("minima"))
     distinct = materialise(distinct.withColumn("sid", F.monotonically_increasing_id()), "dup-sets")
 
-    first = F.array(*[F.xxhash64(F.lit(c), F.element_at("minima", c + 1)) for c in range(TREES * BRANCHES)])
-    entries = distinct.select("sid", "n", F.explode(first).alias("node"))
+    first = [[c] for c in range(TREES * BRANCHES)]
+    long = [[(TREES * BRANCHES + p + i * LONG_PATHS) % COORDINATES for i in range(LONG)] for p in range(LONG_PATHS)]
+    ends = F.array(*[F.xxhash64(F.lit(path[0]), *[F.element_at("minima", c + 1) for c in path]) for path in first + long])
+    entries = distinct.select("sid", "n", F.posexplode(ends).alias("path", "node"))
     shared = entries.groupBy("node").agg(F.count("*").alias("sets"), F.min("sid").alias("leader")).where("sets > 1")
     placed = materialise(entries.join(shared.select("node", "leader"), "node"), "dup-nodes")
 
@@ -299,7 +318,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = connected(_confirmed(stars, sets), "dup-first")
     roots = materialise(roots.select(F.col("id").alias("sid"), F.col("root").alias("grp")), "dup-groups")
 
-    rows = placed.select("node", "sid", "n").join(roots, "sid", "left").withColumn("grp", F.coalesce("grp", "sid"))
+    rows = placed.where(F.col("path") < len(first)).select("node", "sid", "n").join(roots, "sid", "left").withColumn("grp", F.coalesce("grp", "sid"))
     rows = materialise(_open_nodes(rows), "dup-level")
     small, level = [], 0
     is_small = (F.col("sets") <= NODE_SETS) & (F.col("shingles") <= NODE_SHINGLES)
@@ -316,7 +335,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = reduce(DataFrame.unionByName, [*small, _blocks(large)]).select("node", "sid", "grp")
     hinted = nodes.join(distinct.select("sid", "minima"), "sid").repartition("node").sortWithinPartitions("node")
     active = materialise(hinted.select("node", "sid", "grp", "minima").mapInArrow(_promising, "node long, sid long, grp long"), "dup-active")
-    gathered = active.join(sets, "sid").repartition("node").sortWithinPartitions("node").select("node", "sid", "grp", "items")
+    gathered = active.join(distinct.select("sid", "minima"), "sid").join(sets, "sid").repartition("node").sortWithinPartitions("node")
+    gathered = gathered.select("node", "grp", "minima", "items")
     links = connected(gathered.mapInArrow(_node_links, "a long, b long"), "dup-second")
     links = links.select(F.col("id").alias("grp"), F.col("root").alias("__root"))
 
@@ -341,8 +361,8 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     dropped = groups.where(~F.col("kept")).select(id_col)
     repeated = materialise(groups.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "dup-repeated")
     away = materialise(dropped.where(F.col(id_col).isNotNull()).unionByName(repeated).distinct(), "dup-dropped")
-    kept = docs.where(F.col(id_col).isNotNull()).join(away, id_col, "left_anti").select(*docs.columns)
-    again = docs.join(repeated.join(dropped, id_col, "left_anti"), id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col])
+    kept = docs.where(F.col(id_col).isNotNull()).join(away, id_col, "left_anti").select(*columns_of(docs))
+    again = docs.join(repeated.join(dropped, id_col, "left_anti"), id_col, "left_semi").select(*columns_of(docs)).dropDuplicates([id_col])
     return kept.unionByName(again).unionByName(docs.where(F.col(id_col).isNull()))
 
 
@@ -350,6 +370,5 @@ def _sets_of(texts: DataFrame, distinct: DataFrame, placed: DataFrame) -> DataFr
     """Full set (``items``) of every ``sid`` that shares a node with another."""
     wanted = distinct.join(placed.select("sid").distinct(), "sid", "left_semi").select("sid", "least", "d1", "d2")
     wanted = materialise(wanted, "dup-wanted")
-    read = texts.join(wanted.select(F.col("least").alias("__id")).distinct(), "__id", "left_semi")
-    full = small_batches(read).select("__text").mapInArrow(_full_sets, "d1 long, d2 long, items array<long>")
-    return materialise(full.join(wanted.select("sid", "d1", "d2"), ["d1", "d2"]).select("sid", "items"), "dup-full")
+    read = texts.join(wanted.withColumnRenamed("least", "__id"), "__id").select("__text", "sid", "d1", "d2")
+    return materialise(small_batches(read).mapInArrow(_full_sets, "sid long, items array<long>"), "dup-full")
