@@ -3,7 +3,7 @@ import corpus_pipeline
 import duckdb
 import pytest
 
-from tests_support import SF, brute_components, edited, prose, rng, rows
+from tests_support import SF, brute_components, documents, edited, prose, rng, rows  # noqa: F401
 from tracelake.llm import decontamination, mixing, queries
 from tracelake.llm.decontamination import leaks, without_leaks
 

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tests_support import prose, rng, rows
+from tests_support import documents, label_rows, prose, rng, rows  # noqa: F401
 from tracelake.llm import quality, toxicity
 from tracelake.llm.labelled import SCORE
 from tracelake.llm.toxicity import Field, batch_evidence, keys_of

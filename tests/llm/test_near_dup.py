@@ -1,6 +1,6 @@
 import pytest
 
-from tests_support import brute_components, edited, prose, rng, rows
+from tests_support import brute_components, documents, edited, prose, rng, rows  # noqa: F401
 from tracelake.llm import near_dup
 from tracelake.llm.near_dup import connected, near_duplicates, one_of_each_group
 

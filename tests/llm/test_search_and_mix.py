@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests_support import SF, rows
+from tests_support import SF, documents, rows  # noqa: F401
 from tracelake.llm import mixing, topk_search
 from tracelake.llm.topk_search import finite_vectors, voronoi_topk
 

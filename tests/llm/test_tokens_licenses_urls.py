@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tests_support import rows
+from tests_support import documents, rows  # noqa: F401
 from tracelake.llm import token_counts, url_filters
 from tracelake.llm.licenses import license_matches
 from tracelake.session import scratch_path

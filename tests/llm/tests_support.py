@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -42,3 +44,25 @@ def edited(rng, words, share):
 
 def rng(seed):
     return random.Random(seed)
+
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long, __id string, __text string, id string, sid long, node long, score string"
+
+
+@pytest.fixture
+def documents(spark):
+    """Frame of (doc_id, text) or (doc_id, text, source) rows with extra columns whose names clash with inner ones."""
+
+    def make(rows):
+        full = [(i, t, "en", (s or [None])[0], None, "x", "y", "z", 1, 2, "w") for i, t, *s in rows]
+        return spark.createDataFrame(full, DOC)
+
+    return make
+
+
+@pytest.fixture
+def label_rows(spark):
+    def make(rows):
+        return spark.createDataFrame(rows, "doc_id long, quality int, toxic int, text string")
+
+    return make
