@@ -111,6 +111,19 @@ class Field:
         return parts.sum(axis=(1, 2)).reshape(2, 2)
 
 
+def without_copies(docs: list[list[bytes]]) -> list[list[bytes]]:
+    """Documents that share none of three minwise windows of three words with one before: copies would make every word of
+    a copied document look like a sign of its label."""
+    kept, met = [], set()
+    for words in docs:
+        windows = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+        marks = {(seed, min(xxhash.xxh32_intdigest(w, seed) for w in windows)) for seed in range(3)}
+        if met.isdisjoint(marks):
+            kept.append(words)
+        met |= marks
+    return kept
+
+
 def toxic_keys(toxic: list[list[bytes]], clean: list[list[bytes]]) -> set[str]:
     """Keys that toxic documents hold far more often than others: they label the tokens that carry them."""
     known: dict[bytes, list[str]] = {}
@@ -137,6 +150,7 @@ def fit(toxic: list[list[bytes]], clean: list[list[bytes]]) -> Field:
     if not toxic or not clean:
         field.shift, field.scale = float(np.log((len(toxic) + 1) / (len(clean) + 1))), 0.0
         return field
+    toxic, clean = without_copies(toxic), without_copies(clean)
     marked, slots = toxic_keys(toxic, clean), _Slots()
     carries = {w: not marked.isdisjoint(keys_of(w)) for w in {w for words in toxic for w in words}}
     chains = []
