@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import textwrap
 
 import public_tokenizers
 import pytest
@@ -8,7 +9,7 @@ from tokenizers import Tokenizer
 
 from tests_support import documents, rows  # noqa: F401
 from tracelake.llm import token_counts, url_filters
-from tracelake.llm.licenses import license_matches
+from tracelake.llm.licenses import license_digest, license_matches
 from tracelake.session import scratch_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -63,6 +64,36 @@ def test_licences(spark, documents):
     assert license_matches(documents(docs), known.limit(0)).count() == 0
 
 
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that: redistributions in binary form must reproduce the above "
+    "copyright notice, this list of conditions and the following disclaimer. (c) You must retain all copyright and related notices; copyright law, the Copyright Act and "
+    "Copyright License apply. In no event shall the copyright owner or contributors be liable."
+)
+
+
+@pytest.mark.parametrize("width", [20, 31, 47, 70, 100_000])
+@pytest.mark.parametrize("case", [str, str.upper, str.lower])
+def test_a_licence_has_one_digest_however_it_is_wrapped(spark, width, case):
+    wrapped = "\n * ".join(textwrap.wrap(BSD, width))
+    starts = [
+        "", "Copyright (c) 2020 X. ", "Copyright 2014 Acme, Inc. and J. Q. Public. All rights reserved.\n", "Copyright (c) 2020 Jane Doe ", "/* © 2021 Acme\n * All rights reserved.\n */",
+        "Copyright (c) 1999, 2001 A. Author,\n  B. Author and\n  others\nCopyright 2002 C <c@d.example>\n", "(c) 2010-2012 Acme Ltd. ", "Copyright [yyyy] [name of copyright owner]\n", "Copyright The Example Authors. ",
+    ]
+    texts = [BSD, *[case(s if case is not str.lower or "The" not in s else "") + case(wrapped) for s in starts]]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(license_digest(F.col("t"))).collect()
+    assert [r[0] == found[0][0] for r in found] == [True] * len(texts)
+
+
+def test_only_statements_are_deleted(spark):
+    pairs = [
+        ("Do not remove the\ncopyright notice, please.", "Do not remove the\nplease."), ("(c) You must keep it.\nEnd", "End"), ("copyright law applies\nEnd", "End"),
+        ("Copyright (c) 2020 X. Permission is hereby granted.", "Copyright (c) 2020 X. Permission is refused."), ("Copyright Law applies.\nEnd", "End"),
+        ("under\ncopyright doctrines of fair use", "under"), ("Copyright 2020 " + "A B " * 100_000 + ". Yes", "No"),
+    ]
+    for a, b in spark.createDataFrame(pairs, "a string, b string").select(license_digest(F.col("a")), license_digest(F.col("b"))).collect():
+        assert a and b and a != b
+
+
 ENTRIES = [
     ("ads", "d:bad.example", "2023-01-10", "add"), ("ads", "d:bad.example", "2023-02-01", "remove"), ("ads", "d:bad.example", "2024-06-01", "add"),
     ("spam", "d:bad.example", "2023-01-20", "add"), ("spam", "u:ok.example/a/b", "2023-01-01", "add"),

@@ -23,13 +23,47 @@ SPELLINGS = {
 }
 
 
+#: What may stand between the words of a statement: blanks, line ends and the marks that comments put before lines.
+_GAP = r"[\s*#/:,-]*"
+_SIGN = r"(?:©|&copy;|\(c\))"
+_YEAR = r"(?:(?:19|20)\d\d\b|[<\[{(]\s*(?:yyyy|years?|dates?)\b)"
+#: Words after ``copyright`` that are no holder.
+_NO_HOLDER = (
+    "notices?|holders?|owners?|owned|ownership|laws?|statements?|licen[cs]es?|licensors?|licensed|interests?|protections?|protected|acts?|infringements?|rights?|claims?|"
+    "dates?|years?|information|info|lines?|disclaimers?|terms?|treaty|treaties|legends?|markings?|marks?|materials?|works?|files?|headers?|management|grants?|permissions?|"
+    "status|exceptions?|policy|policies|doctrines?|office|subsists|and|or|is|in|of|to|for|as|on|under|if|may|shall|must|will|can|not|has|have|with|which|that|are|was|be|from|at|this|these|any|all"
+)
+#: A statement starts with ``copyright`` or the sign and a sign or year; ``(c)`` alone needs the year, since it also numbers
+#: clauses. A holder without both follows the sign, or a capital ``Copyright`` that starts a line.
+_START = (
+    rf"(?:(?i:\bcopyright\b{_GAP}(?:by\b{_GAP})?(?:{_SIGN}|{_YEAR})|{_SIGN}{_GAP}copyright\b(?!\s+(?:{_NO_HOLDER})\b)|\(c\){_GAP}{_YEAR}|(?:©|&copy;)[\x20\x09]*(?=[\p{{L}}\p{{N}}<\[]))"
+    rf"|(?<=^[\x20\x09*#/;-]{{0,40}})(?:Copyright|COPYRIGHT)\b:?[\x20\x09]+(?:by[\x20\x09]+)?(?=\p{{Lu}})(?!(?i:{_NO_HOLDER})\b))"
+)
+#: Words that start a licence, so they end a statement that has no full stop before them.
+_OPENER = (
+    r"(?:all\s+rights\s+reserved|permission\s+(?:is|to)|permission,|redistributions?\s+(?:and|of|in)|licensed\s+under|released\s+under|distributed\s+under|everyone\s+is|anyone\s+(?:is|may)|"
+    r"you\s+(?:may|can|are)|this\s+\w+|the\s+(?:above|software|following|authors?\s+\w*\s*grant)|use\s+of\s+this|use,\s+\w+|subject\s+to|under\s+the\s+terms|provided\s+)"
+)
+#: A full stop that ends a statement: not that of an initial or title, nor of ``Inc.`` and the like with more holders behind.
+_STOP = r"(?<!\b\p{L})(?<!\b(?:dr|mr|ms|mrs|st|prof))[.;](?=\s|$)(?<!\b(?:inc|ltd|corp|co|llc|jr|sr|bros|al)\.(?=\s+(?:and|or|et|kg)\b|\s*[,&<(]))"
+_LINE_END = r"(?<!,)(?<!\band)(?<!&)[\x20\x09\r]*\n(?![\x20\x09*#/;-]*(?:and\b|&))"
+STATEMENT = (
+    rf"(?m)(?=[cC©&(]){_START}(?i:(?:(?!{_STOP}|{_LINE_END}|\b{_OPENER}|\bcopyright\b{_GAP}(?:{_SIGN}|{_YEAR})|{_SIGN}{_GAP}{_YEAR})[\s\S])*+"
+    rf"[.;]?(?:[\s*#/;,-]*all\s+rights\s+reserved\b\.?)?)"
+)
+
+
 def canonical(text: Column) -> Column:
-    """Text without copyright lines, in lower case, words apart by one blank, equivalent spellings made one.
+    """Text without copyright statements, in lower case, words apart by one blank, equivalent spellings made one.
 
-    A copyright line starts with ``copyright``, the sign or ``(c)``. Everything but letters and digits parts words. Null
-    stays null.
+    A statement is ``copyright`` or its sign with a year or holder, wherever it stands. It ends with its line, unless that
+    breaks at a comma or ``and``; before that with its sentence or where a licence starts. ``All rights reserved`` behind
+    it is part of it. What follows on the line stays, and so do the copyright notice, holder, law and the like, however the
+    text is wrapped. Everything but letters and digits parts words. Null stays null.
     """
-    plain = F.regexp_replace(F.lower(text), r"(?m)^[\x20\x09*#/;-]*(?:copyright\b|©|\(c\))[^\n]*$", " ")
+    low = F.lower(text)
+    signed = reduce(lambda a, b: a | b, [low.contains(sign) for sign in ("copyright", "©", "&copy;", "(c)")])  # most texts need no search
+    plain = F.when(signed, F.lower(F.regexp_replace(text, STATEMENT, " "))).otherwise(low)
     plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(plain, r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
     variants = [(v, word) for word, others in SPELLINGS.items() for v in others]
     replaced = reduce(lambda found, v: F.replace(found, F.lit(f" {v[0]} "), F.lit(f" {v[1]} ")), variants, plain)
@@ -47,7 +81,7 @@ def license_matches(texts: DataFrame, licenses: DataFrame, id_col: str = "doc_id
     """``id_col`` and ``license_col`` of every text that is, as a whole, a known licence.
 
     Texts and licences meet by digest only. Licences with one digest are one: the smallest id stands for them, so a text
-    matches once. Repeated texts get a row each; nulls, empty texts and texts of nothing but copyright lines match nothing;
+    matches once. Repeated texts get a row each; nulls, empty texts and texts of nothing but copyright statements match nothing;
     other columns are ignored. A text so frequent that it fills tasks is split by adaptive skew handling.
     """
     known = licenses.select(F.col(license_col).alias("__license"), license_digest(F.col(license_text)).alias("__digest"))
