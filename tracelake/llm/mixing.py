@@ -29,7 +29,8 @@ def weighted_fair_mix(
 
     Every source is a queue of its shuffled documents, repeated ``epochs`` times. A document's virtual finish time is
     its source's words up to its end over the source's weight. All queues share one clock: the mix is all documents in
-    the order of that time, cut where the budget is used up. Sources by code point, null last, take ``weights`` in turn.
+    the order of that time, cut where the budget is used up. That time is computed from sizes and weights, and each source
+    is cut at its words by then (its target), which is the same; the sort only gives ``position``. Sources by code point, null last, take ``weights`` in turn.
     A source that runs out leaves the clock to the others, so targets are capped at ``epochs`` times its size and the
     excess is shared by weight. A document that the cut falls into is taken up to it, so sources differ from their
     target by less than a word.
