@@ -48,6 +48,18 @@ def test_few_rows_ties_and_repeats(spark):
     assert voronoi_topk(none, frame).count() == 0
 
 
+def test_repeated_ids_on_clustered_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "QUERY_BLOCK", 1)
+    rng = np.random.default_rng(3)
+    middles = [(200, 0), (0, 200), (-200, 0), (0, -200)]
+    data = [(i, [float(v) for v in np.floor(middles[i % 4] + rng.normal(0, 10, 2))]) for i in range(80)]
+    data += [(900, [260.0, 0.0])] * 9 + [(901, [0.0, 260.0])] * 4 + [(901, [0.0, -260.0])] * 4 + [(8, data[8][1])] * 7
+    frame = spark.createDataFrame(data, "id long, v array<double>")
+    asked = [data[i] for i in (*range(40), 80, 89, 93)]
+    got = voronoi_topk(frame, spark.createDataFrame(asked, "id long, v array<double>"), k=5)
+    assert rows(got, "query_id", "rank", "vec_id", "score") == brute_topk(data, asked, 5)
+
+
 def plain_targets(sizes, weights=(5, 2, 1)):
     """Water-filling as the contract states it: share the rest by weight until no source is above twice its size."""
     names = sorted((n for n in sizes if n is not None)) + ([None] if None in sizes else [])

@@ -32,8 +32,8 @@ def voronoi_topk(data: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """For each query the ``k`` rows of ``data`` with the highest inner product, all rows if fewer: ``query_id``,
     ``rank`` (from 1), ``vec_id``, ``score``. Both frames have ``id`` and ``v`` as ``finite_vectors`` gives them.
 
-    Data and queries go to the cell of their nearest pivot. Each data cell is summed up by its count and its k + 1
-    smallest distances to the pivot. From these follows, for each query group, a score that its k-th neighbour reaches
+    Data and queries go to the cell of their nearest pivot. Each data cell is summed up by its k + 1 ids
+    nearest to the pivot and their distances. From these follows, for each query group, a score that its k-th neighbour reaches
     for certain; a data row is sent to a group only if its own distance to its pivot lets it reach that score. Each
     group is then solved in pieces of bounded size, and the pieces' best k are merged. What the driver sees is bounded
     by ``PIVOTS`` and ``QUERY_GROUPS``.
@@ -51,8 +51,9 @@ def voronoi_topk(data: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     groups = pivots[: max(1, min(QUERY_GROUPS, len(pivots), -(-wide[1] // QUERY_BLOCK)))]
     cells = materialise(data.mapInArrow(_assign(pivots, width), "id long, cell int, distance double, v binary"), "topk-data")
     asked = materialise(asked.mapInArrow(_assign(groups, width), "id long, cell int, distance double, v binary"), "topk-queries")
-    near = F.row_number().over(Window.partitionBy("cell").orderBy("distance"))
-    nearest = cells.select("cell", "distance", near.alias("n")).where(F.col("n") <= k + 1).collect()  # PIVOTS x (k + 1) numbers
+    near = F.row_number().over(Window.partitionBy("cell").orderBy("distance", "id"))
+    by_id = cells.groupBy("cell", "id").agg(F.min("distance").alias("distance"))
+    nearest = by_id.select("cell", "id", "distance", near.alias("n")).where(F.col("n") <= k + 1).collect()  # PIVOTS x (k + 1) numbers
     bounds = asked.groupBy("cell").agg(F.max("distance").alias("radius"), F.count("*").alias("n")).collect()
     reach = _reach(pivots, groups, nearest, {r.cell: r.radius for r in bounds}, k)
     pieces = {c: max(1, -(-size[1] // DATA_BLOCK)) for c in reach}
@@ -119,8 +120,11 @@ def _reach(pivots: np.ndarray, groups: np.ndarray, nearest: list, radius: dict[i
         middle = pivots @ groups[g]
         slack = u * np.linalg.norm(pivots, axis=1)
         length = np.linalg.norm(groups[g]) + u
-        certain = sorted((middle[r.cell] - slack[r.cell] - length * r.distance for r in nearest), reverse=True)
-        floor = certain[k] if len(certain) > k else -np.inf  # one of them may be the query itself
+        best: dict[int, float] = {}
+        for r in nearest:
+            best[r.id] = max(best.get(r.id, -np.inf), middle[r.cell] - slack[r.cell] - length * r.distance)
+        certain = sorted(best.values(), reverse=True)
+        floor = certain[k] if len(certain) > k else -np.inf  # one of these ids may be the query's own
         spare = 1e-9 * (1 + np.abs(middle) + slack + abs(floor if np.isfinite(floor) else 0))  # rounding
         out[g] = np.full(len(pivots), -np.inf) if length == 0 else (floor - middle - slack - spare) / length
     return out
