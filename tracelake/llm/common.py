@@ -11,6 +11,8 @@ from tracelake.session import materialise
 
 #: A word is a run of characters other than ASCII white space. ``bytes.split()`` splits at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of one range when rows are numbered, so the number of ranges grows with the table.
+ROWS_PER_RANGE = 4_000_000
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Documents a task holds at once while it works on whole texts.
 TEXTS_PER_BATCH = 512
@@ -59,3 +61,29 @@ def running_total(df: DataFrame, order: Sequence[Column], weight: Column, out: s
     inside = Window.partitionBy("__range").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("__local", F.coalesce(F.sum("__w").over(inside), F.lit(0)))
     return local.join(offsets, "__range").withColumn(out, F.col("__local") + F.col("__ahead")).drop(*key, "__w", "__range", "__local", "__ahead")
+
+
+def numbered(df: DataFrame, order: Sequence[Column], out: str, name: str) -> tuple[DataFrame, int]:
+    """``df`` with the dense 0-based place ``out`` of every row in the given order, and the number of rows.
+
+    The rows are written once with a tie-break, so that equal ones split over ranges as well and a repeated task sees the
+    same table. Each range is sorted on its own; ranges are counted (one row each) and every row adds its range's offset
+    to its place in it. No window holds a group, and no row is shuffled twice.
+    """
+    key = [f"__o{i}" for i in range(len(order))]
+    whole = F.struct(*columns_of(df)).alias("__row")  # apart from the columns made here, whatever its own are called
+    fixed = df.select(whole, *[c.alias(k) for c, k in zip(order, key, strict=True)], F.monotonically_increasing_id().alias("__tie"))
+    fixed = materialise(fixed, f"{name}-rows")
+    rows = fixed.count()
+    ranges = -(-rows // ROWS_PER_RANGE)
+    by = [*key, "__tie"]
+    wide = ranges > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = fixed.repartitionByRange(ranges, *by) if wide else fixed.repartitionByRange(*by)
+    ranged = ranged.sortWithinPartitions(*by).select("__row", F.monotonically_increasing_id().alias("__at"))
+    ranged = materialise(ranged, f"{name}-ranges").withColumn("__range", F.shiftright("__at", 33))
+    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__ahead"))
+    inside = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = ranged.join(F.broadcast(offsets), "__range")
+    return placed.select(*[F.col("__row")[c].alias(c) for c in df.columns], (F.col("__ahead") + inside).alias(out)), rows

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import decontamination, html_text, licenses, mixing, near_dup, quality, token_counts, topk_search, toxicity, url_filters
+from tracelake.llm import decontamination, html_text, licenses, mixing, near_dup, quality, sharding, token_counts, topk_search, toxicity, url_filters
 from tracelake.llm.common import table
 from tracelake.session import configure, scratch_path
 
@@ -251,3 +251,11 @@ def op8_license_digests(spark, folder):
     docs = table(spark, folder, "documents")
     known = docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("license_id"), "text")
     return licenses.license_matches(docs, known)
+
+
+@query()
+def op11_feistel_shards(spark, folder):
+    """All documents dealt to 16 shards by a permutation of their row numbers: counts are at most one apart."""
+    placed = sharding.placements(table(spark, folder, "documents"), shards=16)
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", grown)
