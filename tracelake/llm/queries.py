@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import decontamination, html_text, licenses, mixing, near_dup, quality, sharding, token_counts, topk_search, toxicity, url_filters
+from tracelake.llm import decontamination, html_text, licenses, mixing, near_dup, quality, sharding, token_counts, topk_search, toxicity, url_filters, whitening
 from tracelake.llm.common import table
 from tracelake.session import configure, scratch_path
 
@@ -259,3 +259,10 @@ def op11_feistel_shards(spark, folder):
     placed = sharding.placements(table(spark, folder, "documents"), shards=16)
     grown = F.lit(None).cast("int").alias("grown_shard")
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", grown)
+
+
+@query()
+def op12_bidiagonal_whitening(spark, folder):
+    """All vectors whitened along the eight leading directions of their whole numbers floor(1024 c) + 100000."""
+    vectors = whitening.integer_vectors(table(spark, folder, "embeddings"))
+    return whitening.whitened(vectors, components=8).withColumnRenamed("id", "vec_id")
