@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import decontamination, html_text, licenses, mixing, near_dup, quality, sharding, token_counts, topk_search, toxicity, url_filters, whitening
+from tracelake.llm import decontamination, hard_negatives, html_text, licenses, mixing, near_dup, quality, sharding, token_counts, topk_search, toxicity, url_filters, whitening
 from tracelake.llm.common import table
 from tracelake.session import configure, scratch_path
 
@@ -266,3 +266,28 @@ def op12_bidiagonal_whitening(spark, folder):
     """All vectors whitened along the eight leading directions of their whole numbers floor(1024 c) + 100000."""
     vectors = whitening.integer_vectors(table(spark, folder, "embeddings"))
     return whitening.whitened(vectors, components=8).withColumnRenamed("id", "vec_id")
+
+
+@query(
+    """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM vectors a JOIN vectors r ON r.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+  n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives JOIN scored n USING (anchor_id) WHERE NOT n.same AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+)
+def op13_spanning_tree_negatives(spark, folder):
+    """Three hard negatives for each of the five positives of every fiftieth vector; every seventh row has a wrong label."""
+    rows = hard_negatives.tagged_vectors(table(spark, folder, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(rows, rows.where(F.col("id") % 50 == 0))

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.llm.vectors import matrix
 from tracelake.session import materialise
 
 #: Rows that one factorisation takes beside the triangle so far.
@@ -85,22 +86,11 @@ def whitened(vectors: DataFrame, components: int = 8) -> DataFrame:
     )
 
 
-def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
-    """Whole numbers of a column of lists, one row each, padded with zeros."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
-    if (sizes == width).all():
-        return flat.reshape(-1, width)
-    out = np.zeros((len(sizes), width), np.int64)
-    out[np.arange(width) < sizes[:, None]] = flat
-    return out
-
-
 def _sums(width: int):
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width, np.int64)
         for batch in batches:
-            total += _matrix(batch.column("x"), width).sum(axis=0)
+            total += matrix(batch.column("x"), width).sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(width, dtype=np.int32)), pa.array(total)], ["dim", "total"])
 
     return add
@@ -119,7 +109,7 @@ def _reduce(n: int, sums: np.ndarray):
         triangle, waiting, held, seen = np.zeros((0, width)), [], 0, False
         for batch in batches:
             seen = True
-            waiting.append((n * _matrix(batch.column("x"), width) - sums) / n)
+            waiting.append((n * matrix(batch.column("x"), width) - sums) / n)
             held += len(waiting[-1])
             if held >= BLOCK:
                 triangle, waiting, held = _joined(triangle, np.vstack(waiting)), [], 0
@@ -154,7 +144,7 @@ def _project(n: int, sums: np.ndarray, scaled: np.ndarray):
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            apart = n * _matrix(batch.column("x"), width) - sums
+            apart = n * matrix(batch.column("x"), width) - sums
             far = int(np.abs(apart).max(initial=0))
             if width * far * far < 2**63:
                 deviation = pa.array((apart**2).sum(axis=1), pa.int64())
