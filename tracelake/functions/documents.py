@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping
+from collections.abc import Collection, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracelake.functions.dates import is_uuid7
 
@@ -35,6 +37,54 @@ def json_path_of(roots: Mapping[str, Column], path: Column, maps: Collection[str
     return found
 
 
+def with_json_values(df: DataFrame, out: str, roots: Mapping[str, Column], paths: Sequence[str], maps: Collection[str] = ()) -> DataFrame:
+    """Adds the texts at paths known beforehand as one array ``out``. Each JSON root is parsed once: for its only path, or into a
+    struct of just the fields asked for.
+
+    Values that are no text come as their JSON text. A path that leads on from another one, is indexed or differs from another
+    one in case only is read on its own; an unknown root gives null. Roots named in ``maps`` are text maps.
+    """
+    split = {path: (path.partition(".")[0], path.partition(".")[2].split(".")) for path in paths}
+    trees: dict[str, dict] = {}
+    fields = [
+        path for path, (root, parts) in split.items()
+        if root in roots and root not in maps and "[" not in path and _grow(trees.setdefault(root, {}), parts)
+    ]
+    shared = [root for root in trees if sum(split[path][0] == root for path in fields) > 1]
+
+    def value(path: str) -> Column:
+        root, parts = split[path]
+        if root not in roots:
+            return F.lit(None).cast("string")
+        if root in maps:
+            return F.try_element_at(roots[root], F.lit(".".join(parts))) if path != root else F.to_json(roots[root])
+        if path in fields and root in shared:
+            return reduce(lambda struct, part: struct[part], parts, F.col(f"`__json_{root}`"))
+        return json_path(roots, path)
+
+    # A projection of their own: inside one expression each field would be parsed for by itself.
+    parsed = df.withColumns({f"__json_{root}": F.from_json(roots[root], _struct_of(trees[root])) for root in shared})
+    return parsed.withColumn(out, F.array(*[value(path) for path in paths]).cast("array<string>")).drop(*[f"__json_{root}" for root in shared])
+
+
+def _grow(tree: dict, parts: list[str]) -> bool:
+    """Add a path to a tree of field names unless it meets one that ends or goes on where it does not."""
+    name, rest = parts[0], parts[1:]
+    if not name or any(other != name and other.lower() == name.lower() for other in tree):
+        return False
+    if name not in tree:
+        below: dict = {}
+        if rest and not _grow(below, rest):
+            return False
+        tree[name] = below
+        return True
+    return bool(rest and tree[name]) and _grow(tree[name], rest)
+
+
+def _struct_of(tree: dict) -> T.DataType:
+    return T.StructType([T.StructField(name, _struct_of(below)) for name, below in tree.items()]) if tree else T.StringType()
+
+
 def pluck(items: Column, field: str) -> Column:
     return F.transform(items, lambda item: item[field])
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.distribution import seeded_key, spread_join
-from tracelake.functions.documents import json_path_of, json_scalar
+from tracelake.functions.documents import json_path_of, json_scalar, with_json_values
 from tracelake.functions.text import render_mustache
 from tracelake.operators import tables
 from tracelake.operators.metrics import MetricSpec
@@ -31,6 +31,13 @@ SCHEMA_TYPES = ["BOOLEAN", "INTEGER", "DOUBLE"]
 JUDGE_TYPES = [t for t in RULE_LEVELS if t.endswith("judge")]
 METRIC_TYPES = [t for t in RULE_LEVELS if t.endswith("python")]
 
+#: Column with an item's values at all paths that the rules name, see ``bind_paths``.
+VALUES = "__values"
+#: Paths that are compiled into the plan. Rules may name more: the rest is read per row.
+PATHS = 500
+#: Variable that stands for the whole conversation in the messages of a thread judge.
+CONTEXT = "context"
+
 
 def rules_upsert(rules: DataFrame, changes: DataFrame) -> DataFrame:
     """Change existing rules, carrying unchanged fields forward, and add the ones that are new."""
@@ -103,16 +110,66 @@ def bind_variables(variables: Column, roots: Mapping[str, Column], maps: Collect
     return F.transform_values(variables, lambda _, path: json_path_of(roots, path, maps))
 
 
-def rule_prompts(routed: DataFrame, roots: Mapping[str, Column], maps: Collection[str] = ()) -> DataFrame:
-    """Adds the judge prompt of every routed row: rendered messages, each after its role. ``maps`` names the roots that are
-    text maps; the others are JSON texts."""
-    values = F.coalesce(bind_variables(F.col("rule.variables"), roots, maps), F.create_map().cast("map<string,string>"))
-    with_values = routed.withColumn("__values", values)
-    lines = F.transform(
-        F.col("rule.messages"),
-        lambda m: F.concat(m["role"], F.lit(": "), render_mustache(m["content"], F.col("__values"))),
-    )
-    return with_values.withColumn("prompt", F.array_join(lines, "\n")).drop("__values")
+def bind_paths(items: DataFrame, rules: DataFrame, metrics: Mapping[str, MetricSpec] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Items with their values at every path that a rule names (array ``VALUES``), and rules that know where in it theirs are
+    (``argument_at``, ``variable_at``: name to place).
+
+    Rules are configuration: their distinct paths are read once and become part of the plan, whatever the number of rules
+    that share them. Each JSON column is parsed once per item, before rules multiply the items. Paths of rules that are
+    added to a running stream are not known to it; start it again.
+    """
+    roots, maps = _roots(items)
+    empty = F.create_map().cast("map<string,string>")
+    own = {c: F.coalesce(F.col(c), empty) if c in rules.columns else empty for c in ("arguments", "variables")}
+    defaults = F.lit(None).cast("map<string,string>")
+    for name, spec in (metrics or {}).items():
+        given = F.create_map(*[F.lit(x) for pair in spec.arguments.items() for x in pair])
+        defaults = F.when(F.col("metric") == name, given).otherwise(defaults)
+    complete = F.map_zip_with(own["arguments"], F.coalesce(defaults, empty), lambda _, mine, default: F.coalesce(mine, default))
+    mapped = rules.withColumns({"__arguments": complete if metrics else own["arguments"], "__variables": own["variables"]})
+    named = mapped.select(F.explode(F.concat(F.map_values("__arguments"), F.map_values("__variables"))).alias("path"))
+    paths = [r.path for r in named.where("path IS NOT NULL").distinct().orderBy("path").limit(PATHS + 1).collect()]
+    known = F.array(*[F.lit(p) for p in paths[:PATHS]]).cast("array<string>")
+    place = lambda _, path: F.array_position(known, path).cast("int") - 1
+    at = {"argument_at": F.transform_values("__arguments", place), "variable_at": F.transform_values("__variables", place)}
+    if len(paths) > PATHS:  # the few that are not compiled keep their paths
+        at |= {"argument_path": F.col("__arguments"), "variable_path": F.col("__variables")}
+    bound = with_json_values(items, VALUES, roots, paths[:PATHS], maps)
+    return bound, mapped.withColumns(at).drop("__arguments", "__variables")
+
+
+def _bound_value(routed: DataFrame, side: str, name: Column, at: Column) -> Column:
+    """Value of a rule's argument or variable: by its place, or by its path if that was not compiled."""
+    value = F.get(VALUES, at)
+    if f"{side}_path" not in routed.schema["rule"].dataType.names:
+        return value
+    path = F.try_element_at(F.col(f"rule.{side}_path"), name)
+    roots, maps = _roots(routed)
+    return F.when(at >= 0, value).otherwise(json_path_of(roots, path, maps))
+
+
+def rule_prompts(routed: DataFrame, roots: Mapping[str, Column] | None = None, maps: Collection[str] = ()) -> DataFrame:
+    """Adds the judge prompt of every routed row: rendered messages, each after its role.
+
+    Variables are read from bound values (``bind_paths``); with ``roots`` given, from these per row, where ``maps`` names
+    the roots that are text maps and the others are JSON texts. A column ``context`` is the conversation of a thread: it
+    stands for ``{{context}}``, or follows as the last message if none asks for it.
+    """
+    if roots is None:
+        values = F.transform_values("rule.variable_at", lambda name, at: _bound_value(routed, "variable", name, at))
+    else:
+        values = bind_variables(F.col("rule.variables"), roots, maps)
+    values = F.coalesce(values, F.create_map().cast("map<string,string>"))
+    messages = F.col("rule.messages")
+    if CONTEXT in routed.columns:
+        values = F.map_zip_with(values, F.create_map(F.lit(CONTEXT), F.col(CONTEXT)), lambda _, own, given: F.coalesce(given, own))
+        asked = F.exists(messages, lambda m: m["content"].rlike(r"\{\{\s*" + CONTEXT + r"\s*\}\}"))
+    with_values = routed.withColumn("__prompt_values", values)
+    lines = F.transform(messages, lambda m: F.concat(m["role"], F.lit(": "), render_mustache(m["content"], F.col("__prompt_values"))))
+    prompt = F.array_join(lines, "\n")
+    if CONTEXT in routed.columns:
+        prompt = F.when(asked, prompt).otherwise(F.concat_ws("\n", prompt, F.concat(F.lit("USER: "), F.col(CONTEXT))))
+    return with_values.withColumn("prompt", prompt).drop("__prompt_values")
 
 
 def judge(prompts: DataFrame, answer: Callable[[pd.Series], pd.Series], column: str = "answer") -> DataFrame:
@@ -146,15 +203,20 @@ def _roots(items: DataFrame) -> tuple[dict[str, Column], set[str]]:
 def _rule_arguments(routed: DataFrame, spec: MetricSpec) -> dict[str, Column]:
     """Arguments of a metric as each row's rule maps them. The spec's own mapping is the default, and the only one for
     arguments that are not text."""
-    roots, maps = _roots(routed)
     default = spec.bound(routed.columns)
-    kinds = dict(routed.select(*[c.alias(n) for n, c in default.items()]).dtypes)
-    given = {n: F.try_element_at(F.col("rule.arguments"), F.lit(n)) for n in default}
-    return {n: F.when(given[n].isNotNull(), json_path_of(roots, given[n], maps)).otherwise(c) if kinds[n] == "string" else c for n, c in default.items()}
+    kinds = dict(routed.dtypes)
+    texts = [n for n, path in spec.arguments.items() if kinds.get(path, "string") == "string"]  # a path into JSON gives text
+    if VALUES in routed.columns:
+        places = {n: F.try_element_at(F.col("rule.argument_at"), F.lit(n)) for n in texts}
+        return default | {n: _bound_value(routed, "argument", F.lit(n), at) for n, at in places.items()}
+    roots, maps = _roots(routed)
+    given = {n: F.try_element_at(F.col("rule.arguments"), F.lit(n)) for n in texts}
+    return default | {n: F.when(given[n].isNotNull(), json_path_of(roots, given[n], maps)).otherwise(default[n]) for n in texts}
 
 
 def metric_scores(routed: DataFrame, metrics: Mapping[str, MetricSpec], keys: Sequence[str] = ("trace_id",)) -> DataFrame:
-    """Score rows of metric rules. ``rule.metric`` names the metric, ``rule.arguments`` maps its arguments to paths."""
+    """Score rows of metric rules. ``rule.metric`` names the metric, ``rule.arguments`` maps its arguments to paths; items and
+    rules of ``bind_paths`` have them compiled, others are read per row."""
     entries = [F.when(F.col("rule.metric") == name, spec.entry(routed.columns, _rule_arguments(routed, spec))) for name, spec in metrics.items()]
     scored = routed.where(F.col("rule.metric").isin(list(metrics))).withColumn("__s", F.coalesce(*entries))
     return scored.select(
@@ -171,12 +233,16 @@ def score_items(
     level: str = "trace",
     item_id: str = "trace_id",
 ) -> DataFrame:
-    """Score rows of arriving or stored items under all rules of one level."""
-    routed = route_rules(items, rules, level, item_id)
-    scored = metric_scores(routed, metrics, [item_id])
+    """Score rows of arriving or stored items (traces or spans) under all rules of one level; threads are scored by
+    ``thread_rules``."""
+    used = METRIC_TYPES if answer is None else list(RULE_LEVELS)
+    bound, known = bind_paths(items, rules.where(F.col("type").isin(used)), metrics)
+    needed = ["rule_id", "type", "project_ids", "sampling_rate", "enabled", "metric", "argument_at", "argument_path"]
+    short = known.where(F.col("type").isin(METRIC_TYPES)).select(*[c for c in needed if c in known.columns])  # rules are copied to every item
+    scored = metric_scores(route_rules(bound, short, level, item_id), metrics, [item_id])
     if answer is None:
         return scored
-    prompted = rule_prompts(routed.where(F.col("rule.type").isin(JUDGE_TYPES)), *_roots(items))
+    prompted = rule_prompts(route_rules(bound, known.where(F.col("type").isin(JUDGE_TYPES)), level, item_id))
     return scored.unionByName(judge_scores(judge(prompted, answer), [item_id]))
 
 
