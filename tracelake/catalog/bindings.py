@@ -5,9 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelake.operators.rules import RULE_LEVELS
+
 AS_OF = datetime(2024, 1, 31)
 
 TTL_RULES = [
@@ -150,26 +152,29 @@ class Tables:
     @cached_property
     def rules(self) -> DataFrame:
         """One rule per nation: the even ones judge, the odd ones compute a metric."""
+        content = F.concat(F.lit("Q {{question}} A {{answer}} {{other}}"), F.col("n_nationkey").cast("string"))
+        variables = {"question": "input.question", "answer": "output.output"}
+        return self.rules_of("trace", content, variables, {"output": F.lit("output.output"), "reference": F.lit("input.expected")})
+
+    def rules_of(self, level: str, content: Column, variables: dict[str, str] | None, arguments: dict[str, Column]) -> DataFrame:
+        """One rule per nation on a level (thread rules judge only): judges with one message, metrics with these arguments."""
         key = F.col("n_nationkey")
-        judge = key % 2 == 0
-        text = "Q {{question}} A {{answer}} {{other}}"
+        judge = F.lit(level == "thread") | (key % 2 == 0)
+        kinds = [t for t, of in RULE_LEVELS.items() if of == level]
+        given = F.create_map(*[F.lit(x) for pair in variables.items() for x in pair]) if variables else F.lit(None).cast("map<string,string>")
+        mapped = F.create_map(*[x for name, path in arguments.items() for x in (F.lit(name), path)]) if arguments else F.lit(None).cast("map<string,string>")
         return self.table("nation").select(
             F.concat(F.lit("rule"), key).alias("rule_id"),
             F.col("n_name").alias("name"),
-            F.when(judge, "llm_as_judge").otherwise("user_defined_metric_python").alias("type"),
+            F.when(judge, kinds[0]).otherwise(kinds[-1]).alias("type"),
             F.array((key % 6).cast("string"), ((key + 1) % 6).cast("string")).alias("project_ids"),
             ((key % 5) / 4).alias("sampling_rate"),
             (key % 7 != 0).alias("enabled"),
-            F.when(judge, F.array(F.struct(F.lit("USER").alias("role"), F.concat(F.lit(text), key.cast("string")).alias("content")))).alias("messages"),
-            F.when(
-                judge,
-                F.array(F.struct(F.lit("size").alias("name"), F.lit("INTEGER").alias("type"), F.lit("").alias("description"))),
-            ).alias("schema"),
-            F.when(
-                judge, F.create_map(F.lit("question"), F.lit("input.question"), F.lit("answer"), F.lit("output.output"))
-            ).alias("variables"),
+            F.when(judge, F.array(F.struct(F.lit("USER").alias("role"), content.alias("content")))).alias("messages"),
+            F.when(judge, F.array(F.struct(F.lit("size").alias("name"), F.lit("INTEGER").alias("type"), F.lit("").alias("description")))).alias("schema"),
+            F.when(judge, given).alias("variables"),
             F.when(~judge, "equals_metric").alias("metric"),
-            F.when(~judge, F.create_map(F.lit("output"), F.lit("output.output"), F.lit("reference"), F.lit("input.expected"))).alias("arguments"),
+            F.when(~judge, mapped).alias("arguments"),
         )
 
     @cached_property

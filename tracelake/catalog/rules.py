@@ -10,6 +10,7 @@ from tracelake.catalog.registry import query
 from tracelake.functions import scoring
 from tracelake.operators import rules, threads
 from tracelake.operators.metrics import MetricSpec
+from tracelake.session import scratch_path
 from tracelake.streaming import arrivals
 
 METRICS = {
@@ -28,9 +29,55 @@ def rule_sampling(t: Tables) -> DataFrame:
 
 @query("rule_prompts", f"SELECT trace_id, rule_id, {PROMPT} AS prompt FROM routed WHERE judge", ROUTED)
 def rule_prompts(t: Tables) -> DataFrame:
-    routed = rules.route_rules(t.traces, t.rules.where(F.col("type").isin(rules.JUDGE_TYPES)))
-    roots = {"input": F.col("input"), "output": F.col("output")}
-    return rules.rule_prompts(routed, roots).select("trace_id", "rule.rule_id", "prompt")
+    bound, known = rules.bind_paths(t.traces, t.rules.where(F.col("type").isin(rules.JUDGE_TYPES)))
+    return rules.rule_prompts(rules.route_rules(bound, known)).select("trace_id", "rule.rule_id", "prompt")
+
+
+@query(
+    "rule_arguments",
+    """SELECT trace_id, rule_id, 'equals_metric' AS name,
+      CASE WHEN answer = CASE key % 3 WHEN 0 THEN 'purchase' WHEN 1 THEN name ELSE env END THEN 1.0 ELSE 0.0 END::DOUBLE AS value FROM routed WHERE NOT judge""",
+    ROUTED,
+)
+def rule_arguments(t: Tables) -> DataFrame:
+    """One metric under rules that compare the answer with the expected one, with the question, or with an entry of the metadata."""
+    key = F.col("n_nationkey") % 3
+    reference = F.when(key == 0, "input.expected").when(key == 1, "input.question").otherwise("metadata.env")
+    mapped = t.rules_of("trace", F.lit(""), {}, {"reference": reference})
+    return rules.score_batch(t.traces, mapped, METRICS).select("trace_id", "rule_id", "name", "value")
+
+
+@query(
+    "rule_metadata_prompts",
+    """SELECT trace_id, rule_id, 'USER: ' || env || '/' || coalesce(risk_tier, '') || ': ' || name || ' {{none}}' AS prompt FROM routed WHERE judge""",
+    ROUTED,
+)
+def rule_metadata_prompts(t: Tables) -> DataFrame:
+    """Judge prompts whose variables lead into a map, where a key may be missing, and to a plain column."""
+    made = t.rules_of("trace", F.lit("{{env}}/{{tier}}: {{what}} {{none}}"), {"env": "metadata.env", "tier": "metadata.risk_tier", "what": "name"}, {})
+    bound, known = rules.bind_paths(t.traces, made.where(F.col("type").isin(rules.JUDGE_TYPES)))
+    return rules.rule_prompts(rules.route_rules(bound, known)).select("trace_id", "rule.rule_id", "prompt")
+
+
+@query(
+    "span_rule_scores",
+    """SELECT span_id, rule_id, name, value FROM (
+      SELECT s.span_id, r.rule_id, CASE WHEN r.judge THEN 'size' ELSE 'equals_metric' END AS name,
+        CASE WHEN r.judge THEN length('USER: ' || l_returnflag || ' of ' || l_linestatus) WHEN l_returnflag = l_linestatus THEN 1 ELSE 0 END::DOUBLE AS value
+      FROM line_spans s JOIN rules r ON s.l_partkey % 6 = r.project_id
+      WHERE CAST('0x' || left(md5('sample:' || s.span_id || ':' || r.rule_id), 8) AS BIGINT) / 4294967296 < r.rate)""",
+    ("line_spans", "rules"),
+)
+def span_rule_scores(t: Tables) -> DataFrame:
+    """Span rules, judges and metrics, over all line items as spans."""
+    line = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    spans = line.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("span_id"), (F.col("l_partkey") % 6).alias("project_id"),
+        F.to_json(F.struct(F.struct(F.col("l_linestatus").alias("status")).alias("line"))).alias("input"), F.to_json(F.struct(F.col("l_returnflag").alias("flag"))).alias("output"),
+    )
+    paths = {"flag": "output.flag", "status": "input.line.status"}
+    made = t.rules_of("span", F.lit("{{flag}} of {{status}}"), paths, {"output": F.lit("output.flag"), "reference": F.lit("input.line.status")})
+    return rules.score_spans(spans, made, METRICS, _size_judge).select("span_id", "rule_id", "name", "value")
 
 
 @query("rule_scores_batch", SCORES, ROUTED)
@@ -152,6 +199,40 @@ def stream_sessions(t: Tables) -> DataFrame:
     return _session_columns(arrivals.run_available(arrivals.session_stream(t.trace_stream), "sessions"))
 
 
+THREADS = f"""
+    turns AS (SELECT *, length('USER: {{"question":""}}') + length(name) + length(',"expected":"purchase"') + length(chr(10) || 'ASSISTANT: {{"output":""}}') + length(answer) AS long FROM traces),
+    talks AS (SELECT project_id, thread_id, min(start_time) AS first, max(start_time) AS last, sum(long) + count(*) - 1 AS long FROM (
+      SELECT *, sum(fresh) OVER (PARTITION BY project_id, thread_id ORDER BY start_time, trace_id ROWS UNBOUNDED PRECEDING) AS n FROM (
+        SELECT *, CASE WHEN start_time > lag(start_time) OVER (PARTITION BY project_id, thread_id ORDER BY start_time, trace_id) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh
+        FROM turns)) GROUP BY project_id, thread_id, n)
+    SELECT thread_id, first, rule_id, 'size' AS name, (length('USER: Judge  by ' || key) + long)::DOUBLE AS value, false AS failed FROM talks JOIN (
+      SELECT 'rule' || n_nationkey AS rule_id, n_nationkey AS key, (n_nationkey % 5) / 4 AS rate, unnest([n_nationkey % 6, (n_nationkey + 1) % 6]) AS project_id
+      FROM nation WHERE n_nationkey % 7 <> 0) r USING (project_id)
+    WHERE CAST('0x' || left(md5('sample:' || thread_id || ':' || rule_id), 8) AS BIGINT) / 4294967296 < rate"""
+
+
+def _thread_rules(t: Tables) -> DataFrame:
+    return t.rules_of("thread", F.concat(F.lit("Judge {{context}} by "), F.col("n_nationkey").cast("string")), None, {})
+
+
+def _thread_columns(df: DataFrame) -> DataFrame:
+    return df.select("thread_id", F.col("first").cast("timestamp_ntz").alias("first"), "rule_id", "name", "value", "failed")
+
+
+@query("thread_rule_scores", f"WITH {THREADS}", ("traces",))
+def thread_rule_scores(t: Tables) -> DataFrame:
+    return _thread_columns(threads.thread_scores(t.traces, _thread_rules(t), _size_judge))
+
+
+@query("thread_rule_scores_stream", f"WITH {THREADS} AND last + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)", ("traces",))
+def thread_rule_scores_stream(t: Tables) -> DataFrame:
+    """The same judges on closed sessions of the stream."""
+    base = scratch_path(t.spark, "thread-scores")
+    running = arrivals.judge_threads(t.trace_stream, lambda: t.traces, _thread_rules(t), _size_judge, f"{base}/rows", f"{base}/state")
+    running.awaitTermination()
+    return _thread_columns(t.spark.read.parquet(f"{base}/rows"))
+
+
 @query("stream_assign", "SELECT 'review' AS queue, trace_id FROM traces WHERE q < 0.6", ("traces",))
 def stream_assign(t: Tables) -> DataFrame:
     rows = arrivals.enqueue_stream(t.trace_stream, "review", F.col("scores")["response_quality"] < 0.6)

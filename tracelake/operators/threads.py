@@ -1,16 +1,19 @@
-"""Conversation threads: sessions, and ordered, bounded parts for judging."""
+"""Conversation threads: sessions, ordered and bounded parts of them, and the rules that judge whole conversations."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.distribution import ordered_total
-
+from tracelake.operators.rules import CONTEXT, JUDGE_TYPES, judge, judge_scores, route_rules, rule_prompts
 
 SESSION_COLUMNS = ["thread_id", "start", "end", "traces", "first", "last"]
+#: What tells the sessions that rules judge apart: a rule belongs to projects.
+THREAD = ("project_id", "thread_id")
 
 
 def sessions_by(traces: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
@@ -19,25 +22,26 @@ def sessions_by(traces: DataFrame, keys: Sequence[str], gap: str) -> DataFrame:
     return facts.select(*keys, F.col("session.start").alias("start"), F.col("session.end").alias("end"), "traces", "first", "last")
 
 
-def thread_sessions(traces: DataFrame, gap: str = "30 minutes", part: str = "day") -> DataFrame:
-    """Sessions of stored threads: traces at most ``gap`` apart.
+def thread_sessions(traces: DataFrame, gap: str = "30 minutes", part: str = "day", by: Sequence[str] = ("thread_id",)) -> DataFrame:
+    """Sessions of stored threads, which the columns ``by`` name: traces at most ``gap`` apart.
 
     Sessions are found within calendar parts first, so one huge thread is spread over its parts. Only the first and last
     session of a part can go on in the next one; these few are joined up per thread.
     """
-    keys = ["thread_id", "__part"]
+    keys = [*by, "__part"]
     cut = traces.withColumn("__part", F.date_trunc(part, "start_time"))
     inside = Window.partitionBy(*keys)
     found = sessions_by(cut, keys, gap).withColumn(
         "__edge", (F.col("first") == F.min("first").over(inside)) | (F.col("last") == F.max("last").over(inside))
     )
-    by_time = Window.partitionBy("thread_id").orderBy("first")
+    by_time = Window.partitionBy(*by).orderBy("first")
     edges = found.where("__edge").withColumn("__fresh", F.coalesce(F.col("first") > F.lag("end").over(by_time), F.lit(True)).cast("int"))
     numbered = edges.withColumn("__n", F.sum("__fresh").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = numbered.groupBy("thread_id", "__n").agg(
+    joined = numbered.groupBy(*by, "__n").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.sum("traces").alias("traces"), F.min("first").alias("first"), F.max("last").alias("last")
     )
-    return found.where("not __edge").select(*SESSION_COLUMNS).unionByName(joined.select(*SESSION_COLUMNS))
+    columns = [*by, *SESSION_COLUMNS[1:]]
+    return found.where("not __edge").select(*columns).unionByName(joined.select(*columns))
 
 
 def thread_parts(
@@ -49,6 +53,10 @@ def thread_parts(
     Turns are numbered through buckets and only a part is gathered at once, so one endless conversation neither fills a
     task nor is cut short; nearly every conversation is a single part.
     """
+    return _parts(turns, size, thread, order, text).withColumn("parts", F.count("*").over(Window.partitionBy(thread)))
+
+
+def _parts(turns: DataFrame, size: int, thread: str, order: str, text: str) -> DataFrame:
     numbered = ordered_total(turns, F.col(order), [text], "__index", [thread])
     part = F.floor(F.col("__index") / size).cast("int")
     entries = F.array_sort(F.collect_list(F.struct(F.col(order).alias("__order"), F.col(text))))
@@ -56,7 +64,57 @@ def thread_parts(
     return grouped.select(
         thread, "part", F.size("__turns").alias("turns"),
         F.array_join(F.transform("__turns", lambda t: t[text]), "\n").alias("conversation"),
-    ).withColumn("parts", F.count("*").over(Window.partitionBy(thread)))
+    )
+
+
+def trace_turns() -> Column:
+    """What a trace adds to a conversation: what was asked and what was answered."""
+    asked, answered = F.concat(F.lit("USER: "), "input"), F.concat(F.lit("ASSISTANT: "), "output")
+    return F.concat_ws("\n", asked, answered)
+
+
+def session_parts(sessions: DataFrame, traces: DataFrame, size: int = 50, text: Column | None = None, by: Sequence[str] = THREAD) -> DataFrame:
+    """Conversations of sessions (``by``, ``first``, ``last``), read from the trace table by these bounds, as parts of at most
+    ``size`` traces in order: ``by``, ``first``, ``part``, ``turns``, ``conversation``.
+
+    Sessions meet traces by thread and day, so a thread that never ends is spread over its days.
+    """
+    bounds = [F.col(c).cast("timestamp").alias(f"__{c}") for c in ("first", "last")]
+    held = sessions.select(*by, *bounds).withColumn("__day", F.explode(F.sequence(F.to_date("__first"), F.to_date("__last"))))
+    turns = traces.select(*by, F.col("start_time").cast("timestamp").alias("__time"), (trace_turns() if text is None else text).alias("__text"))
+    met = turns.withColumn("__day", F.to_date("__time")).join(held, [*by, "__day"]).where(F.col("__time").between(F.col("__first"), F.col("__last")))
+    key = F.struct(*by, F.col("__first").alias("first")).alias("__session")
+    parts = _parts(met.select(key, "__time", "__text"), size, "__session", "__time", "__text")
+    return parts.select("__session.*", "part", "turns", "conversation")
+
+
+def judge_sessions(
+    sessions: DataFrame, traces: DataFrame, rules: DataFrame, answer: Callable[[pd.Series], pd.Series], size: int = 50, text: Column | None = None
+) -> DataFrame:
+    """Scores of sessions by the thread judges of their projects: ``project_id``, ``thread_id``, ``first``, ``rule_id``, ``name``,
+    ``value``, ``failed``.
+
+    Threads are drawn as a whole, by their id. Only drawn sessions are read from the trace table. A judge sees the whole
+    conversation; one of more than ``size`` traces comes in parts, whose values are weighted by their traces. A session with
+    a part that could not be read is marked as failed, its value is that of the others.
+    """
+    routed = route_rules(sessions.withColumn("first", F.col("first").cast("timestamp")), rules, "thread", "thread_id")
+    keys = [*THREAD, "first"]
+    drawn = routed.select(*keys, "last").distinct()
+    parts = session_parts(drawn, traces, size, text).withColumnRenamed("conversation", CONTEXT)
+    asked = parts.join(routed.where(F.col("rule.type").isin(JUDGE_TYPES)).select(*keys, "rule"), keys)
+    scored = judge_scores(judge(rule_prompts(asked, {}), answer), [*keys, "turns"])
+    weight = F.sum(F.when(F.col("value").isNotNull(), F.col("turns")))
+    return scored.groupBy(*keys, "rule_id", "name").agg(
+        F.try_divide(F.sum(F.col("value") * F.col("turns")), weight).alias("value"), F.bool_or("failed").alias("failed")
+    )
+
+
+def thread_scores(
+    traces: DataFrame, rules: DataFrame, answer: Callable[[pd.Series], pd.Series], gap: str = "30 minutes", size: int = 50, text: Column | None = None
+) -> DataFrame:
+    """``judge_sessions`` over all sessions of stored traces."""
+    return judge_sessions(thread_sessions(traces, gap, by=THREAD), traces, rules, answer, size, text)
 
 
 def combine_parts(scores: DataFrame, thread: str = "thread_id") -> DataFrame:

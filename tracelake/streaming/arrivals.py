@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 import pandas as pd
@@ -16,8 +16,8 @@ from tracelake import schemas
 from tracelake.operators.filters import traces_of_yesterday
 from tracelake.operators.metrics import MetricSpec
 from tracelake.operators.rules import score_items
-from tracelake.operators.threads import SESSION_COLUMNS, sessions_by
-from tracelake.session import scratch_path
+from tracelake.operators.threads import SESSION_COLUMNS, THREAD, judge_sessions, sessions_by
+from tracelake.session import materialise, scratch_path
 
 
 def stream_traces(spark: SparkSession, folder: str, schema: StructType = schemas.TRACE, glob: str = "*.parquet") -> DataFrame:
@@ -76,13 +76,41 @@ def _windowed(stream: DataFrame, window: Column, value: str, parts: bool = False
     )
 
 
-def session_stream(stream: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
-    """Closed sessions of arriving threads.
+def session_stream(stream: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour", by: Sequence[str] = ("thread_id",)) -> DataFrame:
+    """Closed sessions of arriving threads, which the columns ``by`` name.
 
     A session is kept as its bounds and size only, so the state of a long conversation does not grow with it; the text
     of a closed session is read from the trace table by ``thread_parts``.
     """
-    return sessions_by(event_time(stream, watermark), ["thread_id"], gap).select(*SESSION_COLUMNS)
+    return sessions_by(event_time(stream, watermark), by, gap).select(*by, *SESSION_COLUMNS[1:])
+
+
+def write_batches(rows: DataFrame, path: str, checkpoint: str, make: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+    """Write ``make`` of every micro-batch to a folder of the batch's own, ``path/batch=<number>``. A batch that runs again
+    after a crash overwrites what it had written, so every batch counts once."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        fixed = materialise(batch, "batch")  # state and sources run once, however often ``make`` reads the batch
+        make(fixed).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def judge_threads(
+    stream: DataFrame,
+    read_traces: Callable[[], DataFrame],
+    rules: DataFrame,
+    answer: Callable[[pd.Series], pd.Series],
+    path: str,
+    checkpoint: str,
+    gap: str = "30 minutes",
+    watermark: str = "1 hour",
+    size: int = 50,
+) -> StreamingQuery:
+    """Thread rules on arriving traces: as a session closes its conversation is read from the trace table, which
+    ``read_traces`` opens anew for every batch, and judged. The scores are those of the stored sessions."""
+    closed = session_stream(stream, gap, watermark, THREAD)
+    return write_batches(closed, path, checkpoint, lambda batch: judge_sessions(batch, read_traces(), rules, answer, size))
 
 
 def enqueue_stream(stream: DataFrame, queue: str, predicate: Column) -> DataFrame:
