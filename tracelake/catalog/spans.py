@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tracelake.catalog.bindings import VENDOR, Tables
 from tracelake.catalog.registry import query
 from tracelake.operators import spans
+from tracelake.streaming import arrivals, stitching
 
 
 @query(
@@ -59,6 +60,29 @@ def stitch(t: Tables) -> DataFrame:
     return spans.stitch(loose, sessions).groupBy("session_id", "trace_id", "parent_span_id").agg(F.count("*").alias("spans"))
 
 
+@query(
+    "stitch_stream",
+    """WITH sent AS (SELECT date_trunc('month', o_orderdate) AS month, min(o_orderstatus || ':' || o_orderkey % 7) AS d FROM orders WHERE month(o_orderdate) % 2 = 0 GROUP BY 1),
+      spans AS (SELECT *, date_trunc('month', l_shipdate) AS month FROM lineitem),
+      clock AS (SELECT greatest((SELECT max(l_shipdate) FROM lineitem), (SELECT max(month) FROM sent)) - INTERVAL 1 DAY AS mark)
+    SELECT strftime(spans.month, '%Y-%m') AS session_id, left(d, 1) AS trace_id, d AS parent_span_id, count(*) AS spans, min(l_shipdate) AS first
+    FROM spans LEFT JOIN sent ON spans.month = sent.month, clock WHERE d IS NOT NULL OR l_shipdate + INTERVAL 40 DAY <= mark GROUP BY ALL""",
+)
+def stitch_stream(t: Tables) -> DataFrame:
+    """Line items as spans of their month's session. Every order of an even month dispatches that session again; spans of odd
+    months find no dispatch and go out by themselves once they have waited for 40 days."""
+    lines = t.stream("lineitem").select(
+        F.lit(None).cast("string").alias("trace_id"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("span_id"), F.lit(None).cast("string").alias("parent_span_id"),
+        F.date_format("l_shipdate", "yyyy-MM").alias("session_id"), F.col("l_shipdate").cast("timestamp").alias("start_time"),
+    )
+    sent = t.stream("orders").where(F.month("o_orderdate") % 2 == 0).select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("session_id"), F.col("o_orderstatus").alias("trace_id"),
+        F.concat_ws(":", "o_orderstatus", F.col("o_orderkey") % 7).alias("dispatch_span_id"), F.date_trunc("month", "o_orderdate").alias("dispatch_time"),
+    )
+    stitched = arrivals.run_available(stitching.stitch_stream(lines, sent, "40 days", "1 day", "1 day"), "stitched")
+    return stitched.groupBy("session_id", "trace_id", "parent_span_id").agg(F.count("*").alias("spans"), F.min("start_time").cast("timestamp_ntz").alias("first"))
+
+
 @query(
     "attr_mapping",
     """SELECT span_id, coalesce(CASE WHEN l_returnflag = 'A' THEN 'model-a' END, CASE WHEN l_returnflag <> 'R' THEN 'model-b' END) AS model,

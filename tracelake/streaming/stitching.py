@@ -2,31 +2,123 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+TIMES = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+ARRIVED = ["__session", "__ms", "__span", "__trace", "__parent", "__time"]
+GIVEN = "__span string, __trace string, __parent string"
+
+
+class _Stitcher(StatefulProcessor):
+    """State of a session: its dispatch, and the spans that came before it."""
+
+    def __init__(self, skew_ms: int, timeout_ms: int):
+        self.skew, self.timeout = skew_ms, timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.dispatch = handle.getValueState("dispatch", "trace string, parent string, ms long")
+        self.waiting = handle.getListState("waiting", "span string, ms long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frames = list(rows)
+        found = pd.concat(frames, ignore_index=True).set_axis(ARRIVED, axis=1)  # they come in this order, but without names
+        spans = found[found["__span"].notna()]
+        dispatches = found[found["__span"].isna()].sort_values(["__ms", "__trace", "__parent"])
+        known = self.dispatch.get() if self.dispatch.exists() else None
+        fresh = known is None and len(dispatches) > 0
+        if fresh:
+            first = dispatches.iloc[0]
+            known = (first["__trace"], first["__parent"], int(first["__ms"]))
+            self.dispatch.update(known)
+            self.handle.registerTimer(known[2] + self.timeout)
+        held = [(s, int(ms)) for s, ms in zip(spans["__span"], spans["__ms"])]
+        if fresh and self.waiting.exists():
+            held += [(s, ms) for s, ms in self.waiting.get()]
+            self.waiting.clear()
+        given, kept = self._sorted(held, known)
+        if kept and fresh:
+            self.waiting.put(kept)
+        elif kept:
+            self.waiting.appendList(kept)
+        if kept:
+            self._wake(kept)
+        if given:
+            yield self._out(given, known)
+
+    def _wake(self, kept: list) -> None:
+        """Call again when the first of the waiting spans has waited long enough."""
+        self.handle.registerTimer(min(ms for _, ms in kept) + self.timeout)
+
+    def _sorted(self, held: list, known) -> tuple[list, list]:
+        due = lambda ms: known is not None and known[2] - self.skew <= ms <= known[2] + self.timeout
+        return [h for h in held if due(h[1])], [h for h in held if not due(h[1])]
+
+    @staticmethod
+    def _out(given: list, known) -> pd.DataFrame:
+        trace, parent = known[:2] if known else (None, None)
+        return pd.DataFrame({"__span": [s for s, _ in given], "__trace": trace, "__parent": parent}, dtype=object)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        if self.waiting.exists():
+            held = list(self.waiting.get())
+            late, kept = [h for h in held if h[1] + self.timeout <= now], [h for h in held if h[1] + self.timeout > now]
+            if late:
+                self.waiting.clear()
+                if kept:
+                    self.waiting.put(kept)
+                    self._wake(kept)
+                yield self._out(late, None)
+        if self.dispatch.exists() and self.dispatch.get()[2] + self.timeout <= now:
+            self.dispatch.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def _milliseconds(spark: SparkSession, interval: str) -> int:
+    return int(spark.range(1).select((F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {interval}")) / 1000).cast("long")).first()[0])
 
 
 def stitch_stream(spans: DataFrame, dispatches: DataFrame, timeout: str = "1 hour", watermark: str = "10 minutes", skew: str = "1 minute") -> DataFrame:
     """Attach parentless spans to the dispatch of their session, whichever of the two arrives first.
 
-    ``dispatches`` has ``session_id, trace_id, dispatch_span_id, dispatch_time``. State is a stream-stream join by
-    session that both watermarks and the timeout bound; a span whose dispatch never comes is given out unattached. Spans
-    with a parent pass straight through and are never held. Clocks may differ by ``skew``: a span may start that much
-    before its dispatch.
+    ``dispatches`` has ``session_id, trace_id, dispatch_span_id, dispatch_time``. A session has one dispatch: the first to
+    arrive (of one batch the earliest), so a span is given out once, however often its dispatch is repeated. A span is attached as soon as both
+    are there, if it starts within ``timeout`` after the dispatch, or ``skew`` before it; otherwise it waits, and goes out
+    unattached once the watermark has passed its start by ``timeout``. State is the dispatch and the waiting spans of
+    sessions that are open by that time. Spans with a parent, or without a session, pass straight through. Rows older than the
+    watermark are dropped, as by any stateful query.
     """
-    left = spans.where(F.col("parent_span_id").isNull()).withWatermark("start_time", watermark)
-    right = dispatches.select(
-        F.col("session_id").alias("__session"),
-        F.col("trace_id").alias("__trace"),
-        F.col("dispatch_span_id").alias("__parent"),
-        "dispatch_time",
-    ).withWatermark("dispatch_time", watermark)
-    due = F.expr(f"start_time BETWEEN dispatch_time - INTERVAL {skew} AND dispatch_time + INTERVAL {timeout}")
-    joined = left.join(right, (F.col("session_id") == F.col("__session")) & due, "leftOuter")
-    attach = F.col("__parent").isNotNull()
-    changed = {
-        "trace_id": F.when(attach, F.col("__trace")).otherwise(F.col("trace_id")),
-        "parent_span_id": F.when(attach, F.col("__parent")).otherwise(F.col("parent_span_id")),
-    }
-    stitched = joined.select(*[changed.get(c, F.col(c)).alias(c) for c in spans.columns])
-    return stitched.unionByName(spans.where(F.col("parent_span_id").isNotNull()))
+    spark = spans.sparkSession
+    # Keyed state with timers is kept by this provider only; a running query keeps the one it began with.
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    loose = F.col("parent_span_id").isNull() & F.col("session_id").isNotNull()
+    session = F.col("session_id").cast("string").alias("__session")
+    no_text = F.lit(None).cast("string")
+    arrived = spans.where(loose).select(session, _ms("start_time"), F.to_json(F.struct("*"), TIMES).alias("__span"), no_text.alias("__trace"), no_text.alias("__parent"), _time("start_time"))
+    sent = dispatches.where("session_id IS NOT NULL").select(
+        session, _ms("dispatch_time"), no_text.alias("__span"), F.col("trace_id").alias("__trace"), F.col("dispatch_span_id").alias("__parent"), _time("dispatch_time")
+    )
+    both = arrived.unionByName(sent).withWatermark("__time", watermark)
+    stitcher = _Stitcher(_milliseconds(spark, skew), _milliseconds(spark, timeout))
+    given = both.groupBy("__session").transformWithStateInPandas(stitcher, GIVEN, "Append", "EventTime")
+    span = F.from_json("__span", spans.schema, TIMES)
+    attached = given.withColumn("__s", span)
+    changed = {"trace_id": "__trace", "parent_span_id": "__parent"}
+    columns = [F.coalesce(F.col(changed[c]), F.col("__s")[c]).alias(c) if c in changed else F.col("__s")[c].alias(c) for c in spans.columns]
+    return attached.select(*columns).unionByName(spans.where(~loose))
+
+
+def _ms(column: str) -> Column:
+    return F.unix_millis(F.col(column).cast("timestamp")).alias("__ms")
+
+
+def _time(column: str) -> Column:
+    return F.col(column).cast("timestamp").alias("__time")
