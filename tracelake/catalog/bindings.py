@@ -13,9 +13,10 @@ from tracelake.operators.rules import RULE_LEVELS
 AS_OF = datetime(2024, 1, 31)
 
 TTL_RULES = [
-    {"tags": ["sensitive", "PII"], "older_than_days": 10},
-    {"tags": ["internal"], "older_than_days": 20},
-    {"tags": [], "older_than_days": 25, "description": "Default catch-all"},
+    {"tags": ["load-test"], "older_than_days": 6},
+    {"tags": ["replay"], "older_than_days": 12},
+    {"tags": ["beta"], "older_than_days": 18},
+    {"tags": [], "older_than_days": 24, "description": "nothing that a tag names"},
 ]
 
 VENDOR = "acme"
@@ -30,8 +31,8 @@ _TRACE_COLUMNS = [
     "value AS duration_ms",
     "value / 10000 AS cost",
     "user_id * 100 + day(ts) AS thread_id",
-    """array_compact(array(if(event_id % 3 = 0, 'governance', null), if(event_id % 5 = 0, 'sensitive', null),
-      if(event_id % 7 = 0, 'PII', null), if(event_id % 4 = 0, 'internal', null))) AS tags""",
+    """array_compact(array(if(event_id % 3 = 0, 'governance', null), if(event_id % 5 = 0, 'beta', null),
+      if(event_id % 7 = 0, 'load-test', null), if(event_id % 4 = 0, 'replay', null))) AS tags""",
     "map('prompt_tokens', bigint(k * 10), 'completion_tokens', bigint(k)) AS usage",
     "k >= 95 AS guardrail_failed",
     """map('env', get(array('prod', 'staging', 'dev'), int(user_id % 3)),
@@ -190,8 +191,8 @@ SQL_VIEWS = {
     "traces": """
         SELECT event_id AS trace_id, user_id % 6 AS project_id, 'proj' || (user_id % 6) AS project, event_type AS name,
           ts AS start_time, value AS duration_ms, value / 10000 AS cost, user_id * 100 + day(ts) AS thread_id,
-          [x FOR x IN [CASE WHEN event_id % 3 = 0 THEN 'governance' END, CASE WHEN event_id % 5 = 0 THEN 'sensitive' END,
-            CASE WHEN event_id % 7 = 0 THEN 'PII' END, CASE WHEN event_id % 4 = 0 THEN 'internal' END] IF x IS NOT NULL] AS tags,
+          [x FOR x IN [CASE WHEN event_id % 3 = 0 THEN 'governance' END, CASE WHEN event_id % 5 = 0 THEN 'beta' END,
+            CASE WHEN event_id % 7 = 0 THEN 'load-test' END, CASE WHEN event_id % 4 = 0 THEN 'replay' END] IF x IS NOT NULL] AS tags,
           k, k * 10 AS prompt_tokens, k AS completion_tokens, k >= 95 AS guardrail_failed,
           ['prod', 'staging', 'dev'][user_id % 3 + 1] AS env,
           CASE WHEN event_id % 11 <> 0 THEN ['high', 'medium', 'low'][k % 3 + 1] END AS risk_tier,
@@ -208,14 +209,14 @@ SQL_VIEWS = {
     "projects": "SELECT CAST(n_nationkey AS BIGINT) AS id, 'proj' || n_nationkey AS name FROM nation",
     "ttl": """
         SELECT * FROM (VALUES
-          (0, 'tag=''sensitive'', >10d old', TIMESTAMP '2024-01-21', 'sensitive'),
-          (1, 'tag=''PII'', >10d old', TIMESTAMP '2024-01-21', 'PII'),
-          (2, 'tag=''internal'', >20d old', TIMESTAMP '2024-01-11', 'internal'),
-          (3, 'Default catch-all', TIMESTAMP '2024-01-06', NULL)) v(rule_no, label, cutoff, tag)""",
+          (0, 'tag=''load-test'', >6d old', TIMESTAMP '2024-01-25', 'load-test'),
+          (1, 'tag=''replay'', >12d old', TIMESTAMP '2024-01-19', 'replay'),
+          (2, 'tag=''beta'', >18d old', TIMESTAMP '2024-01-13', 'beta'),
+          (3, 'nothing that a tag names', TIMESTAMP '2024-01-07', NULL)) v(rule_no, label, cutoff, tag)""",
     "matches": """
         SELECT t.*, r.rule_no, r.label FROM traces t JOIN ttl r ON t.start_time <= r.cutoff AND
           CASE WHEN r.tag IS NOT NULL THEN list_contains(t.tags, r.tag)
-            ELSE NOT list_has_any(t.tags, ['sensitive', 'PII', 'internal']) END""",
+            ELSE NOT list_has_any(t.tags, ['beta', 'load-test', 'replay']) END""",
     "pairs": r"""
         SELECT a.conv_id % 3 AS experiment_id, a.conv_id || '-' || a.turn AS item_id, a.text AS question, b.text AS output,
           CASE WHEN a.conv_id % 2 = 0 THEN regexp_extract(b.text, '(\S+)', 1) ELSE 'zzz' END AS expected_answer

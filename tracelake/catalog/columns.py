@@ -100,12 +100,12 @@ def lookback_traces(t: Tables) -> DataFrame:
 
 @query(
     "search_project",
-    "SELECT trace_id, name FROM traces WHERE project = 'proj2' AND env = 'prod' AND list_contains(tags, 'governance') AND duration_ms > 20",
+    "SELECT trace_id, name FROM traces WHERE project = 'proj2' AND env = 'dev' AND list_contains(tags, 'governance') AND duration_ms > 20",
     ("traces",),
 )
 def search_project(t: Tables) -> DataFrame:
     conditions = [
-        {"field": "metadata", "key": "env", "operator": "=", "value": "prod"}, {"field": "tags", "operator": "contains", "value": "governance"},
+        {"field": "metadata", "key": "env", "operator": "=", "value": "dev"}, {"field": "tags", "operator": "contains", "value": "governance"},
         {"field": "duration_ms", "operator": ">", "value": 20},
     ]
     return filters.search_traces(t.traces, "proj2", conditions).select("trace_id", "name")

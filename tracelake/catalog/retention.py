@@ -12,6 +12,8 @@ from tracelake.catalog.registry import query
 from tracelake.functions.dates import cutoff
 from tracelake.operators import filters, retention
 from tracelake.operators.filters import TraceFilter
+from tracelake.session import materialise, scratch_path
+from tracelake.sources import writers
 
 EXPANDED = retention.expand_ttl_rules(TTL_RULES, AS_OF)
 
@@ -20,20 +22,20 @@ MATCHED = ("traces", "ttl", "matches")
 
 @query(
     "filter_tags_all",
-    "SELECT trace_id, project FROM traces WHERE list_contains(tags, 'sensitive') AND list_contains(tags, 'PII')",
+    "SELECT trace_id, project FROM traces WHERE list_contains(tags, 'beta') AND list_contains(tags, 'load-test')",
     ("traces",),
 )
 def filter_tags_all(t: Tables) -> DataFrame:
-    return TraceFilter(tags=("sensitive", "PII")).apply(t.traces).select("trace_id", "project")
+    return TraceFilter(tags=("beta", "load-test")).apply(t.traces).select("trace_id", "project")
 
 
 @query(
     "filter_exclude_any",
-    "SELECT trace_id, project FROM traces WHERE list_contains(tags, 'internal') AND NOT list_has_any(tags, ['sensitive', 'PII'])",
+    "SELECT trace_id, project FROM traces WHERE list_contains(tags, 'replay') AND NOT list_has_any(tags, ['beta', 'load-test'])",
     ("traces",),
 )
 def filter_exclude_any(t: Tables) -> DataFrame:
-    return TraceFilter(tags=("internal",), exclude_tags=("sensitive", "PII")).apply(t.traces).select("trace_id", "project")
+    return TraceFilter(tags=("replay",), exclude_tags=("beta", "load-test")).apply(t.traces).select("trace_id", "project")
 
 
 @query(
@@ -59,7 +61,7 @@ def filter_count(t: Tables) -> DataFrame:
 
 @query(
     "structured_filters",
-    """SELECT trace_id, name FROM traces WHERE env = 'prod' AND list_contains(tags, 'governance') AND NOT list_contains(tags, 'PII')
+    """SELECT trace_id, name FROM traces WHERE env = 'prod' AND list_contains(tags, 'governance') AND NOT list_contains(tags, 'load-test')
       AND duration_ms > 20 AND q < 0.9""",
     ("traces",),
 )
@@ -67,7 +69,7 @@ def structured_filters(t: Tables) -> DataFrame:
     conditions = [
         {"field": "metadata", "key": "env", "operator": "=", "value": "prod"},
         {"field": "tags", "operator": "contains", "value": "governance"},
-        {"field": "tags", "operator": "not_contains", "value": "PII"},
+        {"field": "tags", "operator": "not_contains", "value": "load-test"},
         {"field": "duration_ms", "operator": ">", "value": 20},
         {"field": "scores", "key": "response_quality", "operator": "<", "value": 0.9},
     ]
@@ -115,6 +117,29 @@ def ttl_many_rules(t: Tables) -> DataFrame:
     return traces.select("trace_id", hits.alias("rules"), (~retention.matches_any(traces, rules)).alias("kept"))
 
 
+@query(
+    "delete_by_partition",
+    """SELECT t.project, strftime(t.start_time, '%Y-%m-%d') AS date, count(*) - count(DISTINCT m.trace_id) AS kept, count(DISTINCT m.trace_id) > 0 AS rewritten
+      FROM traces t LEFT JOIN (SELECT DISTINCT trace_id FROM matches) m ON t.trace_id = m.trace_id GROUP BY ALL HAVING count(*) > count(DISTINCT m.trace_id)""",
+    MATCHED,
+)
+def delete_by_partition(t: Tables) -> DataFrame:
+    """A trace table in folders after deletion: what each folder keeps, and whether its files are new."""
+    base = scratch_path(t.spark, "delete")
+    writers.ingest_traces(t.traces, f"{base}/traces")
+
+    def stored() -> DataFrame:
+        return t.spark.read.parquet(f"{base}/traces").withColumn("file", F.col("_metadata.file_name"))
+
+    before = materialise(stored().select("file").distinct(), "files")
+    schema = t.spark.read.parquet(f"{base}/traces").schema
+    for _ in range(2):  # the second call finds everything done
+        writers.delete_by_partition(t.spark, f"{base}/traces", schema, EXPANDED, f"{base}/work")
+    flagged = stored().join(before.withColumn("old", F.lit(True)), "file", "left")
+    counted = flagged.groupBy("project", F.date_format("date", "yyyy-MM-dd").alias("date"))
+    return counted.agg(F.count("*").alias("kept"), F.bool_or(F.col("old").isNull()).alias("rewritten"))
+
+
 @query("delete_dry_run", """SELECT project, trace_id, rule_no, label,
       (row_number() OVER (PARTITION BY project, rule_no ORDER BY md5('batch:' || trace_id), trace_id) - 1) // 200 + 1 AS batch FROM matches""", MATCHED)
 def delete_dry_run(t: Tables) -> DataFrame:
@@ -123,13 +148,13 @@ def delete_dry_run(t: Tables) -> DataFrame:
 
 @query(
     "config_filter",
-    "SELECT trace_id FROM traces WHERE start_time <= TIMESTAMP '2024-01-24' AND start_time > TIMESTAMP '2024-01-05' AND list_contains(tags, 'internal') AND NOT list_contains(tags, 'PII')",
+    "SELECT trace_id FROM traces WHERE start_time <= TIMESTAMP '2024-01-24' AND start_time > TIMESTAMP '2024-01-05' AND list_contains(tags, 'replay') AND NOT list_contains(tags, 'load-test')",
     ("traces",),
 )
 def config_filter(t: Tables) -> DataFrame:
     """The flat filters of a configuration, with the excluded tag given beside it."""
-    flat = {"older_than_days": 7, "after": "2024-01-05", "tags": ["internal"], "exclude_tags": ["sensitive"]}
-    [rule] = retention.config_rules({"filters": flat}, AS_OF, TraceFilter(exclude_tags=("PII",)))
+    flat = {"older_than_days": 7, "after": "2024-01-05", "tags": ["replay"], "exclude_tags": ["beta"]}
+    [rule] = retention.config_rules({"filters": flat}, AS_OF, TraceFilter(exclude_tags=("load-test",)))
     return rule.filter.apply(t.traces).select("trace_id")
 
 

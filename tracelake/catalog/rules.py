@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from tracelake.functions import scoring
 from tracelake.operators import rules, threads
 from tracelake.operators.metrics import MetricSpec
 from tracelake.session import scratch_path
-from tracelake.streaming import arrivals
+from tracelake.streaming import arrivals, late_scores
 
 METRICS = {
     "equals_metric": MetricSpec("equals_metric", scoring.equals, {"output": "output.output", "reference": "input.expected"})
@@ -237,3 +239,44 @@ def thread_rule_scores_stream(t: Tables) -> DataFrame:
 def stream_assign(t: Tables) -> DataFrame:
     rows = arrivals.enqueue_stream(t.trace_stream, "review", F.col("scores")["response_quality"] < 0.6)
     return arrivals.run_available(rows, "assign")
+
+
+@query("assign_exactly_once", "SELECT 'review' AS queue, trace_id, 1::BIGINT AS times FROM traces WHERE q < 0.6", ("traces",))
+def assign_exactly_once(t: Tables) -> DataFrame:
+    """Two writers take the same stream to one table, and a batch of the first is delivered again: what the table then holds."""
+    base = scratch_path(t.spark, "assignments")
+    rows = arrivals.enqueue_stream(t.trace_stream, "review", F.col("scores")["response_quality"] < 0.6, "start_time")
+    for writer in ("a", "b"):
+        arrivals.write_assignments(rows, f"{base}/rows", f"{base}/{writer}", writer).awaitTermination()
+    again = arrivals.enqueue_stream(t.traces, "review", F.col("scores")["response_quality"] < 0.6, "start_time")
+    arrivals.add_assignments(again, f"{base}/rows", "a", 0)
+    return t.spark.read.parquet(f"{base}/rows").groupBy("queue", "trace_id").agg(F.count("*").alias("times"))
+
+
+@query(
+    "late_composites",
+    """WITH marked AS (SELECT trace_id, start_time, h, c, q, trace_id % 50 AS c_late, trace_id % 40 AS h_late, trace_id % 90 AS q_late,
+        date_trunc('day', start_time) < (SELECT date_trunc('day', max(ts)) FROM events) AS closed FROM traces)
+      SELECT trace_id, round(0.5 * c + 0.3 * (1.0 - h) + 0.2 * coalesce(q, 0.8), 4) AS composite, h IS NOT NULL AND c IS NOT NULL AND q IS NOT NULL AS complete
+      FROM marked WHERE closed OR (h IS NOT NULL AND c IS NOT NULL AND q IS NOT NULL AND q_late <= 60)""",
+    ("traces",),
+)
+def late_composites(t: Tables) -> DataFrame:
+    """Composites of a stream whose scores come up to 90 minutes after their trace, an hour being waited for. All days but the
+    last are corrected; of the last one the complete ones count."""
+    minutes = {"regulatory_compliance": 50, "hallucination_rate": 40, "response_quality": 90}
+
+    def scores(traces: DataFrame) -> DataFrame:
+        late = F.create_map(*[x for name, m in minutes.items() for x in (F.lit(name), F.col("trace_id") % m)])
+        rows = traces.select("trace_id", "start_time", F.explode("scores").alias("name", "value")).where(F.col("name").isin(list(minutes)))
+        return rows.select("trace_id", "name", "value", (F.col("start_time").cast("timestamp") + F.make_dt_interval(mins=late[F.col("name")].cast("int"))).alias("ts"))
+
+    base = scratch_path(t.spark, "composites")
+    rows = late_scores.composite_stream(t.trace_stream, scores(t.trace_stream))
+    arrivals.write_rows(rows.withColumn("trace_id", F.col("trace_id").cast("string")), f"{base}/arrived", f"{base}/state").awaitTermination()
+    begin, end = t.traces.agg(F.to_date(F.min("start_time")), F.to_date(F.max("start_time"))).first()
+    named = t.traces.withColumn("trace_id", F.col("trace_id").cast("string"))
+    late_scores.correct_days(named, scores(t.traces).withColumn("trace_id", F.col("trace_id").cast("string")), begin, end - timedelta(days=1), f"{base}/final")
+    found = late_scores.current_composites(t.spark, f"{base}/arrived", f"{base}/final")
+    counted = found.where(F.col("complete") | (F.to_date("start_time") < F.lit(end)))
+    return counted.select(F.col("trace_id").cast("long").alias("trace_id"), "composite", "complete")

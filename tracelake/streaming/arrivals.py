@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +18,7 @@ from tracelake.operators.metrics import MetricSpec
 from tracelake.operators.rules import score_items
 from tracelake.operators.threads import SESSION_COLUMNS, THREAD, judge_sessions, sessions_by
 from tracelake.session import materialise, scratch_path
+from tracelake.sources.writers import if_written
 
 
 def stream_traces(spark: SparkSession, folder: str, schema: StructType = schemas.TRACE, glob: str = "*.parquet") -> DataFrame:
@@ -113,29 +114,47 @@ def judge_threads(
     return write_batches(closed, path, checkpoint, lambda batch: judge_sessions(batch, read_traces(), rules, answer, size))
 
 
-def enqueue_stream(stream: DataFrame, queue: str, predicate: Column) -> DataFrame:
-    """Assignment rows of arriving traces that the predicate selects."""
-    return stream.where(predicate).select(F.lit(queue).alias("queue"), "trace_id")
+def enqueue_stream(stream: DataFrame, queue: str, predicate: Column, time: str | None = None) -> DataFrame:
+    """Assignment rows of arriving traces that the predicate selects; with ``time`` also the ``day`` of that column."""
+    day = [F.to_date(time).alias("day")] if time else []
+    return stream.where(predicate).select(F.lit(queue).alias("queue"), "trace_id", *day)
 
 
-def write_assignments(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append assignments that are not there yet, so that a batch delivered again changes nothing.
+def add_assignments(fresh: DataFrame, path: str, writer: str, batch: int) -> None:
+    """Add assignments that are not there yet to a table in folders by queue, day of the trace (if given), writer and batch.
 
-    The table is partitioned by queue, and a batch reads only the partitions of its own queues.
+    A batch replaces its own folders, so a batch that runs again adds nothing twice. A trace assigned by an earlier batch or another
+    writer lies in the same queue and day: only these folders are read. The queues and days of one batch reach the driver.
+    Writers that add one trace at the same moment cannot see each other; ``read_assignments`` counts it once.
     """
-
-    def add(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.distinct()
-        try:
-            known = spark.read.schema(batch.schema).parquet(path)
-        except AnalysisException as error:  # the first batch finds no table
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-        else:
-            queues = [r[0] for r in fresh.select("queue").distinct().collect()]  # as many as the job has queues
-            fresh = fresh.join(known.where(F.col("queue").isin(queues)), ["queue", "trace_id"], "left_anti")
-        fresh.write.mode("append").partitionBy("queue").parquet(path)
+    spark = fresh.sparkSession
+    keys = [c for c in ("queue", "day") if c in fresh.columns]
+    rows = fresh.distinct()
+    schema = rows.schema.add("writer", "string").add("batch", "long")
+    known = if_written(spark, path, schema)
+    if known is not None:
+        folders = rows.select(*keys).distinct().collect()
+        for key in keys:
+            known = known.where(F.col(key).isin([r[key] for r in folders]))
+        others = known.where(~((F.col("writer") == writer) & (F.col("batch") == batch)))
+        rows = rows.join(others, ["trace_id", *keys], "left_anti")
+    placed = rows.withColumns({"writer": F.lit(writer), "batch": F.lit(batch)})
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys, "writer", "batch").parquet(path)
+
+
+def read_assignments(spark: SparkSession, path: str) -> DataFrame:
+    """Every assigned trace once, by queue."""
+    schema = schemas.ASSIGNMENT
+    return spark.read.schema(schema).parquet(path).select(*schema.names).distinct()
+
+
+def write_assignments(rows: DataFrame, path: str, checkpoint: str, writer: str | None = None) -> StreamingQuery:
+    """Append assignments that are not there yet (``add_assignments``), so that a batch delivered again changes nothing.
+    A writer is known by its checkpoint unless it is named."""
+    name = writer or hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+    def add(batch: DataFrame, number: int) -> None:
+        add_assignments(materialise(batch, "assignments"), path, name, number)
 
     return rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
