@@ -28,17 +28,17 @@ def composite_stream(traces: DataFrame, scores: DataFrame, lateness: str = "1 ho
     """Composite of every arriving trace, once: as soon as all its parts are there, or when the watermark has passed ``lateness`` after
     its start with the parts that had come by then. Traces and scores may arrive in any order.
 
-    One outer join of two streams for each part; their state is bounded by ``lateness`` and the watermark. Of a score that
-    is sent again the first counts. What comes later than ``lateness`` changes nothing here: ``correct_days`` sees it.
+    One outer join of two streams for each part; their state is bounded by ``lateness`` and the watermark. If a score is sent
+    again in time, one of its values counts. What comes later than ``lateness`` changes nothing here: ``correct_days`` sees it.
     """
     rows = event_time(traces.select("trace_id", "start_time"), watermark)
     timed = event_time(scores.where(F.col("name").isin(PARTS) & F.col("value").isNotNull()), watermark, "ts")
-    first = timed.dropDuplicatesWithinWatermark(["trace_id", "name"])
     for i, name in enumerate(PARTS):
-        mine = first.where(F.col("name") == name).select(F.col("trace_id").alias(f"__id{i}"), F.col("ts").alias(f"__ts{i}"), F.col("value").alias(f"__part{i}"))
+        mine = timed.where(F.col("name") == name).select(F.col("trace_id").alias(f"__id{i}"), F.col("ts").alias(f"__ts{i}"), F.col("value").alias(f"__part{i}"))
         due = F.expr(f"__ts{i} BETWEEN start_time AND start_time + INTERVAL {lateness}")
-        rows = rows.join(mine, (F.col("trace_id") == F.col(f"__id{i}")) & due, "leftOuter")
-    return rows.select("trace_id", "start_time", *_composite({name: F.col(f"__part{i}") for i, name in enumerate(PARTS)}))
+        rows = rows.join(mine, (F.col("trace_id") == F.col(f"__id{i}")) & due, "leftOuter").drop(f"__id{i}", f"__ts{i}")
+    once = rows.dropDuplicatesWithinWatermark(["trace_id"])
+    return once.select("trace_id", "start_time", *_composite({name: F.col(f"__part{i}") for i, name in enumerate(PARTS)}))
 
 
 def composites(traces: DataFrame, scores: DataFrame) -> DataFrame:
