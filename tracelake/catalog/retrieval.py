@@ -9,6 +9,7 @@ from tracelake.catalog.bindings import Tables
 from tracelake.catalog.registry import query
 from tracelake.functions.vectors import cosine_distance
 from tracelake.operators import retrieval, tables
+from tracelake.sources import writers
 
 RANKED = ("centroids", "ranked")
 CHUNKS = r"""
@@ -83,6 +84,54 @@ def number_chunks(t: Tables) -> DataFrame:
     return retrieval.number_chunks(t.table("documents")).select("doc_id", "chunk_no", "chunk_id")
 
 
+@query(
+    "number_chunks_text_key",
+    f"""WITH {CHUNKS} SELECT lower(hex(doc_id)) || '-x' AS doc_id, chunk_no::INTEGER AS chunk_no,
+      'doc_' || (row_number() OVER (ORDER BY lower(hex(doc_id)) || '-x', chunk_no) - 1) AS chunk_id FROM chunks""",
+)
+def number_chunks_text_key(t: Tables) -> DataFrame:
+    """Chunks numbered in the order of documents whose keys are texts."""
+    docs = t.table("documents").select(F.concat(F.lower(F.hex("doc_id")), F.lit("-x")).alias("doc_id"), "text")
+    return retrieval.number_chunks(docs).select("doc_id", "chunk_no", "chunk_id")
+
+
+@query(
+    "version_ties",
+    """SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderstatus, md5(o_orderkey::VARCHAR), o_orderkey)::BIGINT AS version FROM orders""",
+)
+def version_ties(t: Tables) -> DataFrame:
+    """Versions of five names in the order of a text with three values: nearly all rows tie."""
+    numbered = tables.next_version(t.table("orders"), "o_orderpriority", "o_orderstatus", ties=["o_orderkey"])
+    return numbered.select("o_orderkey", F.col("version").cast("long").alias("version"))
+
+
+@query(
+    "append_scores",
+    """SELECT trace_id, name, value, late FROM (SELECT *, row_number() OVER (PARTITION BY trace_id, name ORDER BY late DESC) AS n FROM (
+      SELECT event_id AS trace_id, 'quality' AS name, value, false AS late FROM events
+      UNION ALL SELECT event_id, 'quality', value + 1, true FROM events WHERE event_id % 100 = 7
+      UNION ALL SELECT event_id, 'other', value, true FROM events WHERE event_id % 100 = 8)) WHERE n = 1""",
+)
+def append_scores(t: Tables) -> DataFrame:
+    """A score table after a batch of corrections and new scores."""
+    events = t.table("events").select(F.col("event_id").alias("trace_id"), F.lit("quality").alias("name"), "value", "ts", F.lit(False).alias("late"))
+    changed = events.where("trace_id % 100 = 7").withColumns({"value": F.col("value") + 1, "late": F.lit(True), "ts": F.expr("ts + INTERVAL 1 DAY")})
+    added = events.where("trace_id % 100 = 8").withColumns({"name": F.lit("other"), "late": F.lit(True)})
+    return writers.append_scores(events, changed.unionByName(added)).select("trace_id", "name", "value", "late")
+
+
+@query(
+    "chunk_sentences",
+    r"""SELECT doc_id, (i - 1)::INTEGER AS chunk_no, md5(s) AS digest FROM (
+      SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM (
+        SELECT doc_id, [trim(x, ' ') FOR x IN string_split(text, '. ') IF trim(x, ' ') <> ''] AS l FROM documents))""",
+)
+def chunk_sentences(t: Tables) -> DataFrame:
+    """Chunks of a caller's own splitter, here sentences, over all documents."""
+    chunks = retrieval.chunk_with(t.table("documents").select("doc_id", "text"), lambda text: [s for s in (x.strip(" ") for x in text.split(". ")) if s])
+    return chunks.select("doc_id", "chunk_no", F.md5("chunk").alias("digest"))
+
+
 @query(
     "truncate_history",
     """SELECT doc_id AS id, md5(CASE WHEN length(text) > 500 THEN left(text, 500) || '...' ELSE text END) AS text, lang AS summary,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracelake.catalog.bindings import VENDOR, Tables
 from tracelake.catalog.registry import query
+from tracelake.functions import documents
 from tracelake.operators import spans
 from tracelake.streaming import arrivals, stitching
 
@@ -101,6 +102,33 @@ def attr_mapping(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "attr_mapping_explicit",
+    """WITH ids AS (SELECT *, lower(lpad(hex(l_orderkey + 1700000000000), 12, '0')) AS h, l_linenumber % 4 AS kind FROM lineitem),
+      named AS (SELECT *, left(h, 8) || '-' || right(h, 4) || '-7abc-9def-0123456789ab' AS own FROM ids)
+    SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS line, CASE WHEN kind = 0 THEN 'native' ELSE own END AS trace_id,
+      CASE WHEN kind IN (0, 1) THEN 's' || l_linenumber ELSE own END AS span_id, CASE kind WHEN 0 THEN 'p' || l_linenumber WHEN 3 THEN own END AS parent_span_id,
+      CASE WHEN l_linenumber = 1 THEN 'gen_ai.tool.name=search,' ELSE '' END || 'part=' || l_partkey AS metadata FROM named""",
+)
+def attr_mapping_explicit(t: Tables) -> DataFrame:
+    """Ids and metadata of line items whose attributes hold no ids, a bad trace id, a trace id only, that and a span id, or all three."""
+    h = F.lower(F.lpad(F.hex(F.col("l_orderkey") + 1_700_000_000_000), 12, "0"))
+    own = F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, -4, 4), F.lit("-7abc-9def-0123456789ab"))
+    kind = F.col("l_linenumber") % 4
+    given = {
+        f"{VENDOR}.trace_id": F.when(kind > 0, own).when(F.col("l_linenumber") > 4, "not-an-id"), f"{VENDOR}.span_id": F.when(kind > 1, own),
+        f"{VENDOR}.parent_span_id": F.when(kind != 2, F.when(kind == 1, "no-id").otherwise(own)),
+        "gen_ai.tool.name": F.when(F.col("l_linenumber") == 1, "search"), f"{VENDOR}.metadata.part": F.col("l_partkey").cast("string"), "other": F.lit("x"),
+    }
+    flat = F.map_filter(F.create_map(*[x for name, column in given.items() for x in (F.lit(name), column)]), lambda _, v: v.isNotNull())
+    line = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line")
+    spans_ = t.table("lineitem").select(line, flat.alias("a"), F.concat(F.lit("s"), "l_linenumber").alias("s"), F.concat(F.lit("p"), "l_linenumber").alias("p"))
+    ids = documents.choose_parent(F.col("a"), F.lit("native"), F.col("s"), F.col("p"), VENDOR)
+    metadata = documents.map_span_attributes(F.col("a"), VENDOR)["metadata"]
+    entries = F.array_sort(F.transform(F.map_entries(metadata), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return spans_.select("line", *[c.alias(n) for n, c in ids.items()], F.array_join(entries, ",").alias("metadata"))
+
+
 @query(
     "assemble_traces",
     """SELECT 'o' || o_orderkey AS trace_id, 'order' AS name, o_orderpriority AS input, o_orderstatus AS output,

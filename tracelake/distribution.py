@@ -11,12 +11,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracelake.session import materialise
 
 BUCKET = "__bucket"
 SALT = "__salt"
 
+# Rows of one range where rows are put in order by ranges; their number grows with the table.
+ROWS_PER_RANGE = 2_000_000
+
 # Salts for rows that cannot match: no copy of the other side has to meet them, so they may spread as far as they like.
 FREE_SALTS = 1 << 20
 
@@ -64,16 +68,24 @@ def ordered_total(
     weight: Column | None = None,
     splits: int = 64,
 ) -> DataFrame:
-    """Exclusive running total in the order of a numeric or time column; with no weight, a dense 0-based index.
+    """Exclusive running total in the order of a column; with no weight, a dense 0-based index.
 
-    Quantile cut points (``splits`` numbers) make the buckets. They are taken over all rows, so a group that holds a
-    third of the rows is spread over about a third of the buckets. Rows of one order value follow each other by the
-    digest of their ``ties``; a value so frequent that it fills whole buckets is split further by that digest.
+    Numbers and times of up to ``splits`` ranges' rows are cut into buckets at quantiles (``splits`` numbers). They are taken
+    over all rows, so a group that holds a third of the rows is spread over about a third of the buckets. Rows of one order
+    value follow each other by the digest of their ``ties``; a value so frequent that it fills whole buckets is split further
+    by that digest. More rows, and other orders such as texts, are dealt into as many ranges as their number asks for, by order
+    and ties; the result is the same.
     """
-    timed = df.select(order.alias("o")).schema["o"].dataType.typeName() in ("timestamp", "timestamp_ntz")
+    kind = df.select(order.alias("o")).schema["o"].dataType
+    timed = kind.typeName() in ("timestamp", "timestamp_ntz")
     value = F.unix_micros(order.cast("timestamp")) if timed else order
+    if not (timed or isinstance(kind, T.NumericType)):
+        return _ranged_total(df, order, ties, out, group, weight, df.count())
     shares = [i / splits for i in range(1, splits)]
-    marks = df.agg(F.percentile_approx(value, F.array(*[F.lit(s) for s in shares]), 10 * splits)).first()[0] or []
+    marks, rows = df.agg(F.percentile_approx(value, F.array(*[F.lit(s) for s in shares]), 10 * splits), F.count("*")).first()
+    if rows > splits * ROWS_PER_RANGE:
+        return _ranged_total(df, order, ties, out, group, weight, rows)
+    marks = marks or []
     cuts = sorted(set(marks))
     frequent = [c for c in cuts if marks.count(c) > 1]
     bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < value)) if cuts else F.lit(0)
@@ -87,6 +99,17 @@ def ordered_total(
     return _running(keyed, F.struct(bucket.alias("i"), piece.alias("piece")), ordered, step, group, out).drop("__digest")
 
 
+def _ranged_total(df: DataFrame, order: Column, ties: Sequence[str], out: str, group: Sequence[str], weight: Column | None, rows: int) -> DataFrame:
+    """``ordered_total`` over ranges of the order itself. They are written once: a later sample could cut them elsewhere."""
+    step = F.lit(1).cast("long") if weight is None else weight
+    digest = [F.md5(F.concat_ws(":", *[F.col(t).cast("string") for t in ties])).alias("__digest")] if ties else []
+    keyed = df.select("*", order.alias("__order"), step.alias("__step"), *digest)
+    by = ["__order", *(["__digest"] if ties else []), *ties]
+    dealt = keyed.repartitionByRange(max(1, -(-rows // ROWS_PER_RANGE)), *by).withColumn("__range", F.spark_partition_id())
+    ranged = materialise(dealt, "ranges")
+    return _running(ranged, F.col("__range"), [F.col(c) for c in by], F.col("__step"), group, out).drop("__order", "__step", "__digest", "__range")
+
+
 def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, spread_by: str, salts: int = 8) -> DataFrame:
     """Equi join of a fact table with a keyed table, with each key split over ``salts`` tasks.
 

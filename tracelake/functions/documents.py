@@ -127,11 +127,6 @@ def content_parts(text: Column, image: Column) -> Column:
     )
 
 
-def _starting(attributes: Column, prefix: str) -> Column:
-    picked = F.map_filter(attributes, lambda k, _: k.startswith(prefix))
-    return F.transform_keys(picked, lambda k, _: F.substring(k, F.lit(len(prefix) + 1), F.length(k)))
-
-
 def _side(attributes: Column, name: str) -> Column:
     """The attribute ``name`` itself, else the attributes that start with it as one JSON object."""
     several = F.map_filter(attributes, lambda k, _: k.startswith(name))
@@ -144,19 +139,19 @@ def map_span_attributes(attributes: Column, vendor: str) -> dict[str, Column]:
     A model makes the span an ``llm`` span, everything else is ``general``: no attribute makes a tool span.
     """
     model = F.coalesce(*[attributes[name] for name in MODEL_ATTRIBUTES])
-    counts = F.map_filter(attributes, lambda k, v: k.startswith(USAGE_PREFIX) & (k != COST_ATTRIBUTE) & v.try_cast("long").isNotNull())
-    usage = F.transform_values(
-        F.transform_keys(counts, lambda k, _: F.substring(k, F.lit(len(USAGE_PREFIX) + 1), F.length(k))),
-        lambda _, v: v.try_cast("long"),
-    )
-    described = F.map_filter(attributes, lambda k, _: k.startswith(METADATA_PREFIXES[0]) | k.startswith(METADATA_PREFIXES[1]))
+    cut = len(USAGE_PREFIX) + 1
+    counts = F.filter(F.map_entries(attributes), lambda e: e["key"].startswith(USAGE_PREFIX) & (e["key"] != COST_ATTRIBUTE) & e["value"].try_cast("long").isNotNull())
+    usage = F.map_from_entries(F.transform(counts, lambda e: F.struct(F.substring(e["key"], F.lit(cut), F.length(e["key"])), e["value"].try_cast("long"))))
+    own = f"{vendor}.metadata."
+    kept = F.map_filter(attributes, lambda k, _: k.startswith(METADATA_PREFIXES[0]) | k.startswith(METADATA_PREFIXES[1]) | k.startswith(own))
+    metadata = F.transform_keys(kept, lambda k, _: F.when(k.startswith(own), F.substring(k, F.lit(len(own) + 1), F.length(k))).otherwise(k))
     return {
         "model": model,
         "type": F.when(model.isNotNull(), "llm").otherwise("general"),
         "provider": attributes[PROVIDER_ATTRIBUTE],
         "usage": usage,
         "cost": attributes[COST_ATTRIBUTE].try_cast("double"),
-        "metadata": F.map_concat(described, _starting(attributes, f"{vendor}.metadata.")),
+        "metadata": metadata,
         "tags": F.from_json(attributes[f"{vendor}.tags"], "array<string>"),
         "input": _side(attributes, "input"),
         "output": _side(attributes, "output"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from datetime import date
 
@@ -37,6 +38,27 @@ def chunk(docs: DataFrame, size: int = CHUNK_WORDS, text: str = "text") -> DataF
     return docs.select(*rest, F.posexplode(word_chunks(F.col(text), size)).alias("chunk_no", "chunk"))
 
 
+def chunk_with(docs: DataFrame, split: Callable[[str], Sequence[str]], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Chunks of a caller's own splitter, numbered from 0 within the document: ``key``, ``chunk_no``, ``chunk``.
+
+    The splitter runs as a Python table function next to the rows, one document after the other in Arrow batches; chunks
+    are given out as they come, and no document is shuffled. A null text has no chunks.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+
+    class Split:
+        def eval(self, ident, body):
+            if body is not None:
+                for number, piece in enumerate(split(body)):
+                    yield ident, number, piece
+
+    function = F.udtf(Split, returnType=f"{key}: {kind}, chunk_no: int, chunk: string", useArrow=True)
+    named = f"split_{uuid.uuid4().hex}"
+    spark = docs.sparkSession
+    spark.udtf.register(named, function)
+    return spark.sql(f"SELECT made.* FROM {{docs}} AS docs, LATERAL {named}(docs.`{key}`, docs.`{text}`) AS made", docs=docs)
+
+
 def number_chunks(docs: DataFrame, size: int = CHUNK_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Chunks with a dense global id ``doc_<n>`` in document order.
 

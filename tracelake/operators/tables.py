@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.distribution import ordered_total
@@ -32,6 +34,23 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return df.groupBy(*keys).agg(newest.alias("__row")).select(*keys, "__row.*").select(*df.columns)
 
 
+def upsert_latest(base: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Latest row per key of a table that holds one row per key and a batch of new rows.
+
+    Only the batch is reduced to its latest rows. Stored rows meet them by key and stay unless the new one is later; new keys
+    are added. Stored rows are neither aggregated nor written before the result is.
+    """
+    newest = latest_by(new.select(*base.columns), keys, order)
+    marked = newest.select(*[F.col(k).alias(f"__{k}") for k in keys], F.struct(*order).alias("__order"), F.struct(*base.columns).alias("__new"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    met = base.select(F.struct(*base.columns).alias("__old"), *keys, F.struct(*order).alias("__had")).join(marked, same, "left")
+    later = F.col("__order").isNotNull() & (F.col("__order") >= F.col("__had"))
+    stayed = met.select(F.when(later, F.col("__new")).otherwise(F.col("__old")).alias("__row")).select("__row.*")
+    known = base.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    added = newest.join(known, same, "left_anti")
+    return stayed.unionByName(added)
+
+
 def upsert(base: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows of ``new`` replace rows of ``base`` with the same key. ``new`` should hold one row per key."""
     return base.join(new.select(key), key, "left_anti").select(*base.columns).unionByName(new.select(*base.columns))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tracelake.operators.retention import RetentionRule, delete_audit, matches_any
-from tracelake.operators.tables import latest_by
+from tracelake.operators.tables import upsert_latest
 
 #: Folders of a trace table.
 FOLDERS = ["project", "date"]
@@ -109,8 +109,9 @@ def write_payload(payload: DataFrame, path: str) -> None:
 
 
 def append_scores(scores: DataFrame, new: DataFrame) -> DataFrame:
-    """Score table with new rows; per trace and name the latest wins."""
-    return latest_by(scores.unionByName(new), ["trace_id", "name"], ["ts", "value"])
+    """Score table with new rows; per trace and name the latest wins. The table holds one row each, so only the new rows are
+    aggregated, and with a batch that can be broadcast the table is not shuffled."""
+    return upsert_latest(scores, new, ["trace_id", "name"], ["ts", "value"])
 
 
 def rebuild_vectors(vectors: DataFrame, path: str) -> None:
