@@ -50,11 +50,39 @@ def test_planted_passages(documents, items):
     got = {(a, b) for a, b in rows(leaks(documents(docs), items(found)), "doc_id", "item_id")}
     want = brute_leaks(docs, found)
     assert got <= want
-    assert len(want) > 25 and len(got) >= 0.95 * len(want)
+    assert len(want) > 25 and len(got) >= 0.98 * len(want)
     plain = {(d, i) for d, i in want if found[i][1].lower() in docs[d][1].lower()}
     assert plain <= got
 
 
+@pytest.mark.parametrize("length", [8, 10, 12, 15, 16, 20, 24, 30])
+def test_recall_with_every_fourth_token_replaced(documents, items, length):
+    """Against comparing everything: of the passages that score as a leak, at least 98 in 100 are met, at any length."""
+    r = rng(length)
+    found = [(i, " ".join(prose(r, length, 10**6))) for i in range(300)]
+    docs = []
+    for i, text in found:
+        words = text.split()
+        for at in r.sample(range(length), length // 4 if length >= 12 else 1):  # shorter ones need seven equal tokens
+            words[at] = f"r{r.randrange(10**9)}"
+        docs.append((i, " ".join([*prose(r, 5, 10**6), *words, *prose(r, 5, 10**6)])))
+    want = {(d, i) for (d, body), item in zip(docs, found) for _, i in brute_leaks([(d, body)], [item])}
+    got = set(rows(leaks(documents(docs), items(found)), "doc_id", "item_id"))
+    assert got <= want and len(want) >= 20
+    assert len(got) >= 0.98 * len(want)
+
+
+def test_a_template_shared_by_many_items_is_no_leak_of_them(documents, items):
+    r = rng(9)
+    template = prose(r, 13, 10**6)
+    found = [(i, " ".join([*template, *prose(r, 6, 10**6)])) for i in range(400)]
+    docs = [(i, " ".join([*prose(r, 20, 10**6), *template, *prose(r, 20, 10**6)])) for i in range(60)]
+    docs += [(100 + i, "so " + found[i][1] + " it was") for i in range(5)]
+    again = [(1000 + i, found[0][1].upper()) for i in range(50)]  # one text under many ids counts once
+    got = leaks(documents(docs), items(found + again))
+    assert rows(got, "doc_id", "item_id", "n_items") == [(100, 0, 51), *[(100 + i, i, 1) for i in range(1, 5)]]
+
+
 def test_leak_edges(documents, items):
     text = "one two three four five six seven eight"
     docs = [(1, None), (2, ""), (3, text), (3, text), (None, text), (4, "the " * 5000), (5, "Eight, seven")]

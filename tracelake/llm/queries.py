@@ -129,30 +129,27 @@ def op7_additive_quality(spark, folder):
 
 @query(
     r"""
-WITH items AS (
-  SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM benchmark WHERE item_id IS NOT NULL
-), searched AS (
-  SELECT *, len(words) AS n FROM items WHERE len(words) >= 5
-), item_seeds AS (
+WITH searched AS (
+  SELECT words, len(words) AS n, min(item_id) AS item_id, count(DISTINCT item_id) AS n_items
+  FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM benchmark WHERE item_id IS NOT NULL) WHERE len(words) >= 5 GROUP BY words
+), all_seeds AS (
   SELECT item_id, n, m, seed, min(p) AS p FROM (
     SELECT item_id, n, p, unnest([0, 1]) AS m, unnest([
-      hash([words[p+1], words[p+2], words[p+3], words[p+5], words[p+6], words[p+7]]),
-      CASE WHEN p + 8 <= n THEN hash([words[p+1], words[p+2], words[p+4], words[p+5], words[p+7], words[p+8]]) END]) AS seed
-    FROM (SELECT *, unnest(range(0, n - 6)) AS p FROM searched WHERE n >= 7)
-    UNION ALL SELECT item_id, n, 0, n, hash(words) FROM searched WHERE n < 7
+      hash(words[p+1:p+4]), CASE WHEN p + 5 <= n THEN hash([words[p+1], words[p+2], words[p+4], words[p+5]]) END]) AS seed
+    FROM (SELECT *, unnest(range(0, n - 3)) AS p FROM searched)
   ) WHERE seed IS NOT NULL GROUP BY ALL
+), item_seeds AS (
+  SELECT * FROM all_seeds QUALIFY count(*) OVER (PARTITION BY m, seed) <= 32
 ), texts AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM documents
 ), doc_seeds AS (
-  SELECT doc_id, p, unnest([0, 1, 5, 6]) AS m, unnest([
-    CASE WHEN p + 7 <= n THEN hash([words[p+1], words[p+2], words[p+3], words[p+5], words[p+6], words[p+7]]) END,
-    CASE WHEN p + 8 <= n THEN hash([words[p+1], words[p+2], words[p+4], words[p+5], words[p+7], words[p+8]]) END,
-    hash(words[p+1:p+5]), CASE WHEN p + 6 <= n THEN hash(words[p+1:p+6]) END]) AS seed
-  FROM (SELECT *, len(words) AS n, unnest(range(0, len(words) - 4)) AS p FROM texts)
+  SELECT doc_id, p, unnest([0, 1]) AS m, unnest([
+    hash(words[p+1:p+4]), CASE WHEN p + 5 <= n THEN hash([words[p+1], words[p+2], words[p+4], words[p+5]]) END]) AS seed
+  FROM (SELECT *, len(words) AS n, unnest(range(0, len(words) - 3)) AS p FROM texts)
 ), hits AS (
   SELECT DISTINCT d.doc_id, i.item_id, d.p - i.p AS shift FROM doc_seeds d JOIN item_seeds i USING (m, seed)
 ), compared AS (
-  SELECT h.doc_id, h.item_id, h.shift, i.n, t.p, CASE WHEN i.words[t.p+1] = d.words[h.shift+t.p+1] THEN 1 ELSE -1 END AS s
+  SELECT h.doc_id, h.item_id, h.shift, i.n, i.n_items, t.p, CASE WHEN i.words[t.p+1] = d.words[h.shift+t.p+1] THEN 1 ELSE -1 END AS s
   FROM hits h JOIN searched i USING (item_id) JOIN texts d USING (doc_id), unnest(range(0, i.n)) AS t(p)
   WHERE h.shift + t.p >= 0 AND h.shift + t.p < len(d.words)
 ), sums AS (
@@ -160,9 +157,9 @@ WITH items AS (
 ), runs AS (
   SELECT *, c - least(0, min(c) OVER (PARTITION BY doc_id, item_id, shift ORDER BY p)) AS run FROM sums
 ), scored AS (
-  SELECT doc_id, item_id, shift, n, max(run) AS score, count(*) FILTER (s > 0) AS matched FROM runs GROUP BY ALL
+  SELECT doc_id, item_id, shift, n, n_items, max(run) AS score, count(*) FILTER (s > 0) AS matched FROM runs GROUP BY ALL
 )
-SELECT doc_id, item_id, score::INTEGER AS score, matched::INTEGER AS matched, n::INTEGER AS n_tokens, shift::INTEGER AS doc_token
+SELECT doc_id, item_id, score::INTEGER AS score, matched::INTEGER AS matched, n::INTEGER AS n_tokens, shift::INTEGER AS doc_token, n_items
 FROM scored WHERE score >= CASE WHEN n < 7 THEN n ELSE least(12, greatest(7, ceil(n / 2))) END
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY score DESC, matched DESC, shift) = 1
 """
