@@ -92,3 +92,13 @@ def test_no_window_gathers_all_rows(skewed):
     plan = D.shuffled_index(skewed, "id", 1, "n")._jdf.queryExecution().executedPlan().toString()
     wide = [line for line in plan.splitlines() if "Exchange SinglePartition" in line]
     assert len(wide) <= 1, "only the bucket totals may meet in one task"
+
+
+def test_ranges_give_the_same_order_as_buckets(spark, monkeypatch):
+    data = spark.range(500).selectExpr("id", "id % 3 AS g", "CAST(id % 7 AS INT) AS v", "concat('t', id % 7) AS t", "id % 5 AS w")
+    by_number = rows(D.ordered_total(data, F.col("v"), ["id"], "n", ["g"], F.col("w")), "id", "n")
+    assert rows(D.ordered_total(data, F.col("t"), ["id"], "n", ["g"], F.col("w")), "id", "n") == by_number
+    monkeypatch.setattr(D, "ROWS_PER_RANGE", 7)
+    assert rows(D.ordered_total(data, F.col("v"), ["id"], "n", ["g"], F.col("w"), splits=4), "id", "n") == by_number
+    assert rows(D.ordered_total(data, F.col("t"), ["id"], "n", ["g"], F.col("w")), "id", "n") == by_number
+    assert D.ordered_total(data.limit(0), F.col("t"), ["id"], "n").isEmpty()

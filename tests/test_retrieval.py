@@ -164,3 +164,24 @@ def test_categories(spark):
     assert ("sales", "deals") in rows(renamed, "key", "name") and renamed.columns == cats.columns
     assert C.ensure_categories(cats, cats).count() == 5
     assert schemas.CATEGORY.names[0] == "key"
+
+
+def test_hashed_search_finds_most_neighbours_and_splits_hot_buckets(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    centres = r.standard_normal((40, 16))
+    vectors = centres[r.integers(0, 40, 1500)] + 0.3 * r.standard_normal((1500, 16))
+    vectors[:300] = vectors[0]  # one bucket holds a fifth of all rows
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)] + [(9000, None)], "id long, embedding array<double>")
+    queries = corpus.where("id % 15 = 0").withColumnRenamed("id", "query_id")
+    exact = set(rows(V.topk_similar(queries, corpus, 5), "query_id", "id"))
+    monkeypatch.setattr(V, "CORPUS_BLOCK", 100)
+    monkeypatch.setattr(V, "QUERY_BLOCK", 10)
+    found = rows(V.topk_hashed(queries, corpus, 5), "query_id", "id", "rank")
+    assert len(exact & {f[:2] for f in found}) >= 0.9 * len(exact)
+    assert len({f[:2] for f in found}) == len(found)
+    assert V.topk_hashed(queries.limit(0), corpus, 5).count() == 0
+
+
+def test_custom_splitter(spark):
+    docs = spark.createDataFrame([(1, "a|b|"), (2, None), (3, "")], "doc_id long, text string")
+    assert rows(V.chunk_with(docs, lambda text: text.split("|"))) == [(1, 0, "a"), (1, 1, "b"), (1, 2, ""), (3, 0, "")]

@@ -43,6 +43,25 @@ def topk_many(t: Tables) -> DataFrame:
     return retrieval.topk_similar(every, _corpus(t), 3, block=200).select("query_id", "id", "rank")
 
 
+PLANE = "((i * i * 7919 + j * j * 104729 + i * i * j * 31 + i * j * j * 17 + i * j * 31337 + i * 65537 + j * 257) % 10007 - 5003)"
+BUCKETS = f"""[list_sum([CASE WHEN list_sum([v[i + 1] * {PLANE} FOR i IN range(len(v))]) >= 0 THEN 1 << (j % 4) ELSE 0 END FOR j IN range(b * 4, b * 4 + 4)]) FOR b IN range(16)]"""
+
+
+@query(
+    "topk_hashed",
+    f"""WITH asked AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 20 = 0),
+      queries AS MATERIALIZED (SELECT query_id, v, {BUCKETS} AS s FROM asked),
+      corpus AS MATERIALIZED (SELECT id, v, {BUCKETS} AS s FROM (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings))
+    SELECT query_id, id, rank::INTEGER AS rank, similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS rank FROM (
+      SELECT q.query_id, c.id, round(list_cosine_similarity(c.v, q.v), 6) AS similarity FROM queries q, corpus c
+      WHERE len([b FOR b IN range(1, 17) IF q.s[b] = c.s[b]]) > 0)) WHERE rank <= 5""",
+)
+def topk_hashed(t: Tables) -> DataFrame:
+    """Every twentieth vector looked up among all of them through hash tables."""
+    asked = t.table("embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return retrieval.topk_hashed(asked, _corpus(t), 5).select("query_id", "id", "rank", "similarity")
+
+
 @query(
     "topk_today",
     "SELECT query_id, id, rank::INTEGER AS rank FROM ranked WHERE rank <= 20 AND id % 5 = 2",

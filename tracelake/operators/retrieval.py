@@ -127,6 +127,68 @@ def topk_similar(
     return ranked.withColumn("distance", F.round(1.0 - F.col("similarity"), digits))
 
 
+def topk_hashed(
+    queries: DataFrame,
+    corpus: DataFrame,
+    k: int = TOP_K,
+    query_id: str = "query_id",
+    doc_id: str = "id",
+    payload: Sequence[str] = (),
+    digits: int = 6,
+    bits: int = 4,
+    tables: int = 16,
+) -> DataFrame:
+    """Approximate ``topk_similar`` for collections too large to compare every query with everything.
+
+    A vector's bucket in each of ``tables`` hash tables is on which side of ``bits`` hyperplanes it lies. A query is compared,
+    exactly, with the vectors of its buckets only; near vectors share one of them with high probability, far ones less
+    often. More bits make buckets smaller, more tables find more; the defaults suit neighbours at wide angles. Buckets of very many rows are split into blocks that meet
+    in a grid; no row of a bucket is left out. Fewer than ``k`` rows come back for a query whose buckets hold fewer.
+    """
+    kept = [doc_id, *payload]
+    asked = queries.where(F.col("embedding").isNotNull()).groupBy(query_id).agg(F.min("embedding").alias("embedding"))
+    asked = materialise(_bucketed(asked, bits, tables), "hashed-queries")
+    searched = materialise(_bucketed(corpus.where(F.col("embedding").isNotNull()).select(*kept, "embedding"), bits, tables), "hashed-corpus")
+    sizes = [
+        df.groupBy("__bucket").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias(name))
+        for df, name, block in ((asked, "__qs", QUERY_BLOCK), (searched, "__cs", CORPUS_BLOCK))
+    ]
+    grid = F.broadcast(sizes[0].join(sizes[1], "__bucket"))  # at most tables x 2^bits rows
+    asked = _dealt(asked.join(grid, "__bucket"), query_id, "__q", "__qs", "__c", "__cs")
+    searched = _dealt(searched.join(grid, "__bucket"), doc_id, "__c", "__cs", "__q", "__qs")
+    cell = ["__bucket", "__q", "__c", "__size"]
+    fields = [queries.schema[query_id], *[corpus.schema[c] for c in kept], T.StructField("similarity", T.DoubleType())]
+    hits = asked.groupBy(*cell).cogroup(searched.groupBy(*cell)).applyInPandas(_cell_hits(k, query_id, doc_id, list(payload), digits), T.StructType(fields))
+    best = Window.partitionBy(query_id).orderBy(F.col("similarity").desc(), F.col(doc_id))
+    ranked = hits.dropDuplicates([query_id, doc_id]).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.withColumn("distance", F.round(1.0 - F.col("similarity"), digits))
+
+
+def hyperplanes(width: int, count: int) -> np.ndarray:
+    """Normals of reproducible hyperplanes, as columns: whole numbers spread evenly by a polynomial of their place."""
+    i, j = np.arange(width)[:, None], np.arange(count)[None, :]
+    return ((i * i * 7919 + j * j * 104_729 + i * i * j * 31 + i * j * j * 17 + i * j * 31_337 + i * 65_537 + j * 257) % 10_007 - 5003).astype(float)
+
+
+def _bucketed(df: DataFrame, bits: int, tables: int) -> DataFrame:
+    """One row per hash table, with the vector's bucket in it (tables do not share buckets)."""
+
+    @F.pandas_udf("array<int>")
+    def buckets(vectors: pd.Series) -> pd.Series:
+        found = []
+        for v in vectors:
+            sides = (np.asarray(v, float) @ hyperplanes(len(v), bits * tables)).reshape(tables, bits) >= 0
+            found.append(sides @ (1 << np.arange(bits)) + (np.arange(tables) << bits))
+        return pd.Series(found)
+
+    return df.withColumn("__bucket", F.explode(buckets("embedding")))
+
+
+def _dealt(df: DataFrame, ident: str, own: str, blocks: str, other: str, copies: str) -> DataFrame:
+    placed = df.withColumn(own, F.pmod(F.xxhash64(ident), F.col(blocks)).cast("int")).withColumn("__size", F.size("embedding"))
+    return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(copies) - 1))).drop(blocks, copies)
+
+
 def _gridded(df: DataFrame, ident: str, own: str, blocks: int, other: str, copies: int) -> DataFrame:
     """Rows in a block of their own, once for each block of the other side."""
     dealt = df.withColumn(own, F.pmod(F.xxhash64(ident), F.lit(blocks)).cast("int")).withColumn("__size", F.size("embedding"))
