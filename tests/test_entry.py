@@ -43,5 +43,6 @@ def test_query_equals_its_sql(spark, duck, name):
     columns = [d[0] for d in want.description]
     assert sorted(got.columns) == sorted(columns)
     found = got.collect()
-    assert found, "a query that gives nothing proves nothing"
+    if not found:  # a query that gives nothing proves nothing: the next larger tables must hold something for it
+        assert not entry_module.queries()[name](spark, SF.replace("0.001", "0.01")).isEmpty()
     assert normal([tuple(r) for r in found], got.columns) == normal(want.fetchall(), columns)
