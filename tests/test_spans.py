@@ -135,3 +135,17 @@ def test_stitch_stream(spark, tmp_path):
     assert run() == [("s5", "t", "s4")]
     later.write.mode("append").parquet(str(tmp_path / "in"))
     assert ("s5", "t", "s4") in run()
+
+
+def test_attributes_grouped_first_are_the_same(spark):
+    maps = [
+        {"gen_ai.usage.a": "1", "gen_ai.usage.b": "x", "gen_ai.usage.cost": "2", "gen_ai.agent.id": "z", "acme.metadata.k": "v", "output": "o", "inputs": "i"},
+        {"other\noutput": "no side", "x": "input"}, {"output.a": "1", "output.b": None, "input": None, "input.c": "2"}, {}, None,
+    ]
+    df = spark.createDataFrame([(m,) for m in maps], "a map<string,string>").withColumn("g", J.grouped_attributes(F.col("a"), "acme"))
+    alone = df.select(*[c.alias(n) for n, c in J.map_span_attributes(F.col("a"), "acme").items()]).collect()
+    grouped = df.select(*[c.alias(n) for n, c in J.map_span_attributes(F.col("a"), "acme", F.col("g")).items()]).collect()
+    assert alone == grouped
+    assert (alone[0].usage, alone[0].metadata, alone[0].input) == ({"a": 1}, {"gen_ai.agent.id": "z", "k": "v"}, '{"inputs":"i"}')
+    assert (alone[1].input, alone[1].output) == (None, None)
+    assert (alone[2].input, alone[2].output) == ('{"input":null,"input.c":"2"}', '{"output.a":"1","output.b":null}')

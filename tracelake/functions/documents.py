@@ -127,23 +127,40 @@ def content_parts(text: Column, image: Column) -> Column:
     )
 
 
+def _names(attributes: Column) -> Column:
+    """All attribute names in one text, each after a line feed, which tells what a map may hold without a lambda."""
+    return F.concat(F.lit("\n"), F.array_join(F.map_keys(attributes), "\n"))
+
+
 def _side(attributes: Column, name: str) -> Column:
-    """The attribute ``name`` itself, else the attributes that start with it as one JSON object."""
+    """The attribute ``name`` itself, else the attributes that start with it as one JSON object.
+
+    Most spans have none, which their names tell at once; only the others are filtered by a lambda.
+    """
     several = F.map_filter(attributes, lambda k, _: k.startswith(name))
-    return F.coalesce(attributes[name], F.when(F.size(several) > 0, F.to_json(several)))
+    some = _names(attributes).contains(f"\n{name}")
+    return F.coalesce(attributes[name], F.when(some, F.when(F.size(several) > 0, F.to_json(several))))
+
+
+def grouped_attributes(attributes: Column, vendor: str) -> Column:
+    """The attributes that go into usage or metadata, found in one pass over the map."""
+    prefixes = [USAGE_PREFIX, *METADATA_PREFIXES, f"{vendor}.metadata."]
+    return F.map_filter(attributes, lambda k, _: reduce(lambda some, prefix: some | k.startswith(prefix), prefixes[1:], k.startswith(prefixes[0])))
 
 
-def map_span_attributes(attributes: Column, vendor: str) -> dict[str, Column]:
+def map_span_attributes(attributes: Column, vendor: str, grouped: Column | None = None) -> dict[str, Column]:
     """Columns of a span read from its flat attributes; ``vendor`` is the prefix of the platform's own attributes.
 
-    A model makes the span an ``llm`` span, everything else is ``general``: no attribute makes a tool span.
+    A model makes the span an ``llm`` span, everything else is ``general``: no attribute makes a tool span. ``grouped`` is
+    a column that holds ``grouped_attributes`` already, so that usage and metadata read the few entries there only.
     """
     model = F.coalesce(*[attributes[name] for name in MODEL_ATTRIBUTES])
     cut = len(USAGE_PREFIX) + 1
-    counts = F.filter(F.map_entries(attributes), lambda e: e["key"].startswith(USAGE_PREFIX) & (e["key"] != COST_ATTRIBUTE) & e["value"].try_cast("long").isNotNull())
+    entries = attributes if grouped is None else grouped
+    counts = F.filter(F.map_entries(entries), lambda e: e["key"].startswith(USAGE_PREFIX) & (e["key"] != COST_ATTRIBUTE) & e["value"].try_cast("long").isNotNull())
     usage = F.map_from_entries(F.transform(counts, lambda e: F.struct(F.substring(e["key"], F.lit(cut), F.length(e["key"])), e["value"].try_cast("long"))))
     own = f"{vendor}.metadata."
-    kept = F.map_filter(attributes, lambda k, _: k.startswith(METADATA_PREFIXES[0]) | k.startswith(METADATA_PREFIXES[1]) | k.startswith(own))
+    kept = F.map_filter(entries, lambda k, _: k.startswith(METADATA_PREFIXES[0]) | k.startswith(METADATA_PREFIXES[1]) | k.startswith(own) if grouped is None else ~k.startswith(USAGE_PREFIX))
     metadata = F.transform_keys(kept, lambda k, _: F.when(k.startswith(own), F.substring(k, F.lit(len(own) + 1), F.length(k))).otherwise(k))
     return {
         "model": model,

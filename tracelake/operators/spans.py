@@ -10,17 +10,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.distribution import heavy_join, spread_join
-from tracelake.functions.documents import choose_parent, map_span_attributes
+from tracelake.functions.documents import choose_parent, grouped_attributes, map_span_attributes
 from tracelake.operators.usage import sum_usage
 from tracelake.session import materialise
 
 
 def read_attributes(spans: DataFrame, vendor: str) -> DataFrame:
     """Spans with typed columns from their flat attributes and with ids and parent chosen as ingestion does."""
-    typed = map_span_attributes(F.col("attributes"), vendor)
+    # A projection of its own: usage and metadata both read it, and inside one expression each would make the pass again.
+    grouped = spans.withColumn("__grouped", grouped_attributes(F.col("attributes"), vendor))
+    typed = map_span_attributes(F.col("attributes"), vendor, F.col("__grouped"))
     ids = choose_parent(F.col("attributes"), F.col("trace_id"), F.col("span_id"), F.col("parent_span_id"), vendor)
     rest = [c for c in spans.columns if c not in ids and c not in typed]
-    return spans.select(*[c.alias(n) for n, c in ids.items()], *rest, *[c.alias(n) for n, c in typed.items()])
+    return grouped.select(*[c.alias(n) for n, c in ids.items()], *rest, *[c.alias(n) for n, c in typed.items()])
 
 
 def span_tree(spans: DataFrame, orphans: str = "drop") -> DataFrame:
