@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 import textwrap
+import time
 
 import public_tokenizers
 import pytest
@@ -128,3 +129,23 @@ def test_entries_hold_for_their_time(spark):
 )
 def test_url_keys(spark, url, keys):
     assert set(spark.createDataFrame([(url,)], "u string").select(url_filters.url_keys(F.col("u"))).first()[0]) == keys
+
+
+def test_long_urls_cost_their_length(spark):
+    deep = "http://ok.example/" + "/".join(f"f{i}" for i in range(30_000))
+    wide = "http://" + "a." * 20_000 + "bad.example/x"
+    keys = ["u:ok.example/f0/f1", "u:ok.example/f0/f2", "u:" + deep[7:], "d:bad.example", "odd", "u:", "d:"]
+    entries = spark.createDataFrame([(str(i), k, day("2023-01-01"), "add") for i, k in enumerate(keys)], "list string, key string, day date, action string")
+    captures = spark.createDataFrame([(i, u, day("2023-05-05")) for i, u in enumerate([deep, wide, deep + "/more", "http://ok.example//f0"])], "id long, url string, fetched date")
+    assert url_filters.key_lengths(entries) == ([1, 2], [2, 30_000])
+    began = time.perf_counter()
+    got = rows(url_filters.filtered(captures, entries), "id", "lists")
+    assert got == [(0, ["0", "2"]), (1, ["3"]), (2, ["0", "2"]), (3, [])]
+    assert time.perf_counter() - began < 60  # every prefix of these took minutes
+
+
+@pytest.mark.parametrize("url", ["http://a.b.c.example/x/y/z/", "http://example", "http://a..b/x//y", "http://h.example/?q"])
+def test_keys_of_some_lengths_are_those_of_all(spark, url):
+    some = spark.createDataFrame([(url,)], "u string").select(url_filters.url_keys(F.col("u")).alias("all"), url_filters.url_keys(F.col("u"), [2, 4], [1, 3]).alias("some")).first()
+    lengths = {"d": (".", 1, {2, 4}), "u": ("/", 0, {1, 3})}
+    assert sorted(some["some"]) == sorted(k for k in some["all"] if k[2:].count(lengths[k[0]][0]) + lengths[k[0]][1] in lengths[k[0]][2])
