@@ -50,6 +50,21 @@ def test_edges(documents):
     assert near_duplicates(documents([])).count() == 0
 
 
+def test_rows_without_an_id_link_and_bridge(documents):
+    r = rng(12)
+    base, other = prose(r, 100), prose(r, 100)
+    front, back = ["x", *prose(r, 7), *base[8:]], [*base[:92], *prose(r, 7), "y"]
+    docs = [(7, " ".join(front)), (None, " ".join(base)), (5, " ".join(back)), (None, " ".join(base)), (8, " ".join(other)), (None, " ".join([*other[:95], "z"])), (9, " ".join(prose(r, 40)))]
+    docs += [(None, " ".join(prose(r, 60))), (None, None), (None, "")]
+    got = [(d, c, k) for d, _, c, k in rows(near_duplicates(documents(docs)), "doc_id", "n_shingles", "component_id", "kept")]
+    want = [(7, 5, False), (5, 5, True), (8, 8, True), (9, 9, True), (None, 5, False), (None, 5, False), (None, 8, False), (None, None, True), (None, None, True), (None, None, True)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    apart = rows(near_duplicates(documents([d for d in docs if d[0] in (5, 7)])), "doc_id", "component_id")
+    assert apart == [(5, 5), (7, 7)]  # linked through the row without an id only
+    many = rows(near_duplicates(documents([(3, " ".join(front)), *[(None, " ".join(base))] * 300])).groupBy("component_id").count(), "component_id", "count")
+    assert many == [(3, 301)]
+
+
 def test_one_document_of_each_group(documents):
     docs = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "q r s t u v"), (3, "q r s t u v"), (4, None), (None, "k l m n o"), (None, "k l m n o")]
     kept = one_of_each_group(documents(docs))

@@ -136,6 +136,23 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([sids[i] for i in lot], pa.int64()), items], ["sid", "items"])
 
 
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the digests of their sets, once for each set that a task meets; empty sets are left out."""
+    known, met = _WordHashes(), set()
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            texts = batch.column("__text")
+            values, sizes = _sets(texts.to_pylist(), known)
+            d1, d2 = (d.to_numpy() for d in _digests(values, sizes))
+            new = []
+            for i, kind in enumerate(zip(d1.tolist(), d2.tolist(), sizes.tolist(), strict=True)):
+                if kind[2] and kind not in met:
+                    met.add(kind)
+                    new.append(i)
+            at = pa.array(new, pa.int64())
+            yield pa.RecordBatch.from_arrays([texts.take(at), *[pa.array(x).take(at) for x in (d1, d2, sizes)]], ["__text", "d1", "d2", "n"])
+
+
 def connected(edges: DataFrame, name: str) -> DataFrame:
     """``id`` and ``root``, the smallest id it is connected with, of every id in ``edges`` (``a``, ``b``).
 
@@ -296,7 +313,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Documents are linked if 100 x intersection >= 75 x union of their sets of lower-cased five-word shingles. With fewer
     words the whole sequence is the one shingle. Without words or text (null) a set is empty and linked with nothing.
     Documents with equal sets, however many, are one set from the start and never compared. A repeated row gets a row
-    each; a row with a null id has a null component unless linked to another. Other columns are ignored. Texts are read
+    each; a row with a null id links and bridges like any other, and has a null component only if it meets no id. Other columns are ignored. Texts are read
     whole. An empty table gives no rows.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
@@ -367,8 +384,14 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def _sets_of(texts: DataFrame, distinct: DataFrame, placed: DataFrame) -> DataFrame:
-    """Full set (``items``) of every ``sid`` that shares a node with another."""
-    wanted = distinct.join(placed.select("sid").distinct(), "sid", "left_semi").select("sid", "least", "d1", "d2")
+    """Full set (``items``) of every ``sid`` that shares a node with another.
+
+    A text is found again by the smallest id that holds its set. A set held under null ids only is found by its digests:
+    each task gives one text of every such set, copies or not.
+    """
+    wanted = distinct.join(placed.select("sid").distinct(), "sid", "left_semi").select("sid", "least", "d1", "d2", "n")
     wanted = materialise(wanted, "dup-wanted")
-    read = texts.join(wanted.withColumnRenamed("least", "__id"), "__id").select("__text", "sid", "d1", "d2")
-    return materialise(small_batches(read).mapInArrow(_full_sets, "sid long, items array<long>"), "dup-full")
+    read = texts.join(wanted.where("least IS NOT NULL").withColumnRenamed("least", "__id"), "__id").select("__text", "sid", "d1", "d2")
+    loose = small_batches(texts.where("__id IS NULL").select("__text")).mapInArrow(_digested, "__text string, d1 long, d2 long, n long")
+    nameless = loose.join(wanted.where("least IS NULL").drop("least"), ["d1", "d2", "n"]).select("__text", "sid", "d1", "d2")
+    return materialise(small_batches(read.unionByName(nameless)).mapInArrow(_full_sets, "sid long, items array<long>"), "dup-full")
