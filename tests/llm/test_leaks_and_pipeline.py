@@ -83,6 +83,19 @@ def test_a_template_shared_by_many_items_is_no_leak_of_them(documents, items):
     assert rows(got, "doc_id", "item_id", "n_items") == [(100, 0, 51), *[(100 + i, i, 1) for i in range(1, 5)]]
 
 
+def test_items_made_of_shared_wording_alone_are_found_without_the_cap(documents, items):
+    """Every seed of these items is held by more than 32 of them: the score alone decides, as in comparing everything."""
+    r = rng(10)
+    words = prose(r, 20, 10**6)
+    found = [(i, " ".join(words[2 * p + (i >> p) % 2] for p in range(10))) for i in range(1024)]
+    docs = [(i, " ".join([*prose(r, 9, 10**6), found[i * 131][1], *prose(r, 9, 10**6)])) for i in range(6)] + [(9, " ".join(prose(r, 30, 10**6)))]
+    want = set(brute_leaks(docs, found))
+    got = set(rows(leaks(documents(docs), items(found), common=None), "doc_id", "item_id"))
+    assert {(i, i * 131) for i in range(6)} <= got <= want and len(got) >= 0.98 * len(want)
+    assert leaks(documents(docs), items(found)).isEmpty()  # by its SQL, op9 takes none of these seeds
+    assert rows(without_leaks(documents(docs), items(found)), "doc_id") == [(9,)]
+
+
 def test_leak_edges(documents, items):
     text = "one two three four five six seven eight"
     docs = [(1, None), (2, ""), (3, text), (3, text), (None, text), (4, "the " * 5000), (5, "Eight, seven")]
