@@ -51,6 +51,33 @@ def test_topk_in_small_slices_and_with_copies(spark, vectors, monkeypatch):
     assert found == [e[:2] + e[3:] for e in brute_force(queries, copies, 7)]
 
 
+def test_small_query_blocks_do_not_multiply_the_corpus(spark, vectors, monkeypatch):
+    """The corpus is sent once for each group of queries, not once for every few that are compared at once."""
+    dealt = []
+    gridded = V._gridded
+    monkeypatch.setattr(V, "_gridded", lambda *a: dealt.append(a[3:]) or gridded(*a))
+    _, _, q, c = vectors
+    V.topk_similar(q, c, 7, block=1)
+    copies_of_corpus = dealt[1][2]
+    assert copies_of_corpus == 1
+
+
+def test_best_rows_among_near_scores_and_copies():
+    """Scores that differ beyond single precision, and a slice of copies only, against scoring all in double precision."""
+    draw = np.random.default_rng(5)
+    base = draw.normal(size=(6, 16))
+    near = base[draw.integers(0, 6, 3000)] + draw.normal(size=(3000, 16)) * 1e-4
+    for corpus in (near, np.vstack([near[:700], np.repeat(base[:1], 4000, axis=0), near[700:]])):
+        queries = np.vstack([base, near[:40]])
+        corpus = corpus / np.linalg.norm(corpus, axis=1, keepdims=True)
+        queries = queries / np.linalg.norm(queries, axis=1, keepdims=True)
+        exact = np.round(queries @ corpus.T, 6)
+        want = [(q, r) for q in range(len(queries)) for r in np.lexsort((np.arange(len(corpus)), -exact[q]))[:5]]
+        query, row, score = V._best_rows(queries, corpus, 5, 6)
+        assert list(zip(query, row)) == want
+        assert np.array_equal(score, exact[query, row])
+
+
 def test_topk_edges(spark, vectors):
     _, _, q, c = vectors
     assert V.topk_similar(q, c.limit(0), 3).isEmpty()

@@ -24,12 +24,16 @@ EMBED_BATCH = 16
 TOP_K = 5
 TODAY_CANDIDATES = 20
 
-# Query and corpus vectors of a block, two of which a task compares at once.
+# Query vectors that a task compares at once, and query and corpus vectors of the blocks that meet in a task. Each block is
+# sent once for each block of the other side, so the larger they are the less is shuffled.
 QUERY_BLOCK = 4096
+QUERY_GROUP = 32_768
 CORPUS_BLOCK = 50_000
 
 # Most scores a task holds at once. Also bounds the candidates when very many corpus rows are copies of each other.
 SCORE_CELLS = 1_000_000
+# Corpus rows that give the first bar of each query.
+FIRST_ROWS = 512
 
 
 def chunk(docs: DataFrame, size: int = CHUNK_WORDS, text: str = "text") -> DataFrame:
@@ -105,8 +109,8 @@ def topk_similar(
     """Exact ``k`` most similar corpus vectors per query, with similarity, distance and rank.
 
     Queries and corpus are dealt into blocks of bounded size that meet in a grid, by an equi join on the block numbers. A
-    cell multiplies its two blocks and gives out its own ``k`` best per query; no vector passes through the driver, only
-    the two counts that set the number of blocks. Scores are compared rounded to ``digits`` and ties go to the smaller id,
+    cell multiplies its two blocks, ``block`` queries at once, and gives out its own ``k`` best per query; no vector passes
+    through the driver, only the two counts that set the number of blocks. Scores are compared rounded to ``digits`` and ties go to the smaller id,
     so results do not depend on how rows are dealt. Vectors that are null have no neighbours and are none, zero vectors
     have no direction, and vectors of different lengths are not compared. A query id given twice is asked once, with the
     smaller vector.
@@ -114,13 +118,13 @@ def topk_similar(
     kept = [doc_id, *payload]
     asked = queries.where(F.col("embedding").isNotNull()).groupBy(query_id).agg(F.min("embedding").alias("embedding"))
     searched = corpus.where(F.col("embedding").isNotNull()).select(*kept, "embedding")
-    query_blocks = max(1, -(-asked.count() // block))
+    query_blocks = max(1, -(-asked.count() // max(block, QUERY_GROUP)))
     corpus_blocks = max(queries.sparkSession.sparkContext.defaultParallelism, -(-searched.count() // CORPUS_BLOCK))
     asked = _gridded(asked, query_id, "__q", query_blocks, "__c", corpus_blocks)
     searched = _gridded(searched, doc_id, "__c", corpus_blocks, "__q", query_blocks)
     cell = ["__q", "__c", "__size"]
     fields = [queries.schema[query_id], *[corpus.schema[c] for c in kept], T.StructField("similarity", T.DoubleType())]
-    nearest = _cell_hits(k, query_id, doc_id, list(payload), digits)
+    nearest = _cell_hits(k, query_id, doc_id, list(payload), digits, block)
     hits = asked.groupBy(*cell).cogroup(searched.groupBy(*cell)).applyInPandas(nearest, T.StructType(fields))
     best = Window.partitionBy(query_id).orderBy(F.col("similarity").desc(), F.col(doc_id))
     ranked = hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -195,42 +199,76 @@ def _gridded(df: DataFrame, ident: str, own: str, blocks: int, other: str, copie
     return dealt.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
 
 
-def _cell_hits(k: int, query_id: str, doc_id: str, payload: list[str], digits: int):
+def _cell_hits(k: int, query_id: str, doc_id: str, payload: list[str], digits: int, block: int = QUERY_BLOCK):
     kept = [doc_id, *payload]
-    order, up = [query_id, "similarity", doc_id], [True, False, True]
 
     def nearest(asked: pd.DataFrame, searched: pd.DataFrame) -> pd.DataFrame:
-        best = pd.DataFrame({c: pd.Series(dtype=(searched if c in kept else asked).get(c, pd.Series(dtype="float64")).dtype) for c in [query_id, *kept, "similarity"]})
         if not len(asked) or not len(searched):
-            return best
-        names = asked[query_id].to_numpy(dtype=object)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            matrix = np.stack(asked["embedding"].to_numpy()).astype("float64")
-            matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-        rows = max(k, SCORE_CELLS // len(names))
-        parts = []
-        for start in range(0, len(searched), rows):
-            parts.append(_candidates(searched.iloc[start : start + rows], names, matrix, k, query_id, kept, digits))
-            merged = pd.concat(parts)
-            parts = [merged.sort_values(order, ascending=up).groupby(query_id, sort=False).head(k)]
-        return parts[0][[query_id, *kept, "similarity"]]
+            return pd.DataFrame({c: pd.Series(dtype=(searched if c in kept else asked).get(c, pd.Series(dtype="float64")).dtype) for c in [query_id, *kept, "similarity"]})
+        searched = searched.sort_values(doc_id, na_position="first")  # of equal scores the earlier row wins
+        asked, queries = _directions(asked)
+        searched, corpus = _directions(searched)
+        parts = [_best_rows(queries[at : at + block], corpus, k, digits) for at in range(0, len(queries), block)] or [(np.empty(0, int), np.empty(0, int), np.empty(0))]
+        names = np.concatenate([n * block + query for n, (query, _, _) in enumerate(parts)])
+        found = searched[kept].iloc[np.concatenate([row for _, row, _ in parts])].reset_index(drop=True)
+        found.insert(0, query_id, asked[query_id].iloc[names].reset_index(drop=True))
+        return found.assign(similarity=np.concatenate([score for _, _, score in parts]))
 
     return nearest
 
 
-def _candidates(batch: pd.DataFrame, names: np.ndarray, matrix: np.ndarray, k: int, query_id: str, kept: list[str], digits: int) -> pd.DataFrame:
-    """Rows of one batch that may be among the best of some query: at least its k-th best score in the batch."""
-    vectors = np.stack(batch["embedding"].to_numpy()).astype("float64")
-    with np.errstate(invalid="ignore", divide="ignore"):
-        scores = np.round((vectors / np.linalg.norm(vectors, axis=1, keepdims=True)) @ matrix.T, digits)
-    comparable = np.where(np.isnan(scores), -np.inf, scores)
-    last = min(k, len(batch)) - 1
-    bar = -np.partition(-comparable, last, axis=0)[last]
-    row, query = np.nonzero((comparable >= bar) & ~np.isnan(scores))
-    found = batch[kept].iloc[row].copy()
-    found[query_id] = names[query]
-    found["similarity"] = scores[row, query]
-    return found
+def _directions(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    """Rows that have a direction, and their vectors of length one."""
+    vectors = np.stack(rows["embedding"].to_numpy()).astype("float64")
+    with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
+        vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    known = ~np.isnan(vectors).any(axis=1)
+    return rows[known], vectors[known]
+
+
+def _best_rows(queries: np.ndarray, corpus: np.ndarray, k: int, digits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query number, corpus row and rounded score of each query's ``k`` best rows, earlier rows first among equal scores.
+
+    Products in single precision find the few rows that can pass a query's bar, its k-th best score so far; these are scored
+    again in double precision. The margin is more than single precision and rounding can differ by. Where so many pass that
+    they are no selection, as among copies of one vector, the whole slice is scored in double precision.
+    """
+    width = queries.shape[1]
+    margin = 4e-7 * max(width, 8) + 10.0**-digits
+    short_queries, short_corpus = queries.T.astype("float32"), corpus.astype("float32")
+    bar = np.full(len(queries), -np.inf)
+    best = (np.empty(0, int), np.empty(0, int), np.empty(0))
+    slices, start = max(k, SCORE_CELLS // len(queries)), 0
+    while start < len(corpus):
+        rows = slices if start else min(slices, max(k, FIRST_ROWS))
+        scores = short_corpus[start : start + rows] @ short_queries
+        low = bar
+        if not start and len(scores) >= k:
+            low = -np.partition(-scores, k - 1, axis=0)[k - 1] - margin
+        row, query = np.nonzero(scores >= low - margin)
+        if len(row) * width > scores.size:
+            exact = np.round(corpus[start : start + rows] @ queries.T, digits) + 0.0
+            if start:
+                passed = exact > bar
+            else:
+                last = min(k, len(exact)) - 1
+                passed = exact >= -np.partition(-exact, last, axis=0)[last]
+            row, query = np.nonzero(passed)
+            score = exact[row, query]
+        else:
+            score = np.round(np.einsum("ij,ij->i", corpus[start + row], queries[query]), digits) + 0.0
+            passed = score > bar[query]
+            row, query, score = row[passed], query[passed], score[passed]
+        if len(row):
+            query, row, score = (np.concatenate(pair) for pair in zip(best, (query, start + row, score)))
+            order = np.lexsort((row, -score, query))
+            query, row, score = query[order], row[order], score[order]
+            place = np.arange(len(query)) - np.searchsorted(query, query)
+            first = place < k
+            best = query[first], row[first], score[first]
+            bar[query[place == k - 1]] = score[place == k - 1]
+        start += rows
+    return best
 
 
 def only_today(hits: DataFrame, day: date | str) -> DataFrame:
