@@ -89,6 +89,23 @@ def test_thousands_of_rules(traces, different_times):
     assert rows(audit, "trace_id", "rule_no", "label") == sorted(((t, 1700, "r1700") for t in gone), key=repr)
 
 
+def test_rules_of_many_ages_are_one_lookup(traces):
+    """However many ages: one comparison with the trace's time in the plan, not one for each."""
+    rules = [R.RetentionRule(i, f"r{i}", TraceFilter(before=ago(1 + i), tags=(f"none{i}",))) for i in range(300)]
+    for found in (R.matched_rules(traces, rules), R.matches_any(traces, rules)):
+        plan = traces.select(found.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("start_time") <= 2
+
+
+def test_tags_of_any_text_are_looked_up(traces):
+    odd = 'Größe "x"\\n\t}'
+    tagged = traces.withColumn("tags", F.array(F.lit(odd), F.lit(None).cast("string"), F.lit(odd), F.lit("b")))
+    rules = [R.RetentionRule(0, odd, TraceFilter(tags=(odd,))), R.RetentionRule(1, "b", TraceFilter(before=ago(10**4), tags=("b",))), R.RetentionRule(2, "c", TraceFilter(tags=("c",)))]
+    found = R.match_rules(tagged, rules)
+    assert {tuple(r) for r in found.select("rule_no", "label").collect()} == {(0, odd)} and found.count() == traces.count()
+    assert R.kept_traces(tagged, rules).isEmpty()
+
+
 def test_one_tag_in_several_rules(traces):
     rules = [R.RetentionRule(0, "a", TraceFilter(before=ago(1), tags=("debug",))), R.RetentionRule(1, "b", TraceFilter(before=ago(1), tags=("debug",))), R.RetentionRule(2, "c", TraceFilter(tags=("debug", "legal")))]
     assert rows(R.match_rules(traces, rules).where("trace_id = 3"), "rule_no") == [(0,), (1,), (2,)]
