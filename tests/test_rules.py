@@ -99,6 +99,24 @@ def test_prompt_is_rendered_once(rules, items):
     assert prompt == "USER: Q q{{output}} A a0 {{unknown}}"
 
 
+def test_prompt_pieces_render_as_templates(spark, items):
+    """Messages cut once per rule give what filling each row's template gives, and no template is split per row."""
+    contents = ["{{ a }}-{{b}}-{{c}}", "x {{a", "}} {{{{b}} {{}} {{a}}{{a}}", "", None, "{{context}}"]
+    messages = F.array(*[F.struct(F.lit("USER").alias("role"), F.lit(c).cast("string").alias("content")) for c in contents])
+    made = spark.range(1).select(
+        F.lit("r").alias("rule_id"), F.lit("llm_as_judge").alias("type"), F.array(F.lit("1"), F.lit("2")).alias("project_ids"), F.lit(1.0).alias("sampling_rate"),
+        F.lit(True).alias("enabled"), messages.alias("messages"), F.create_map(F.lit("a"), F.lit("input.question"), F.lit("b"), F.lit("output.none")).alias("variables"),
+    )
+    routed = R.route_rules(*R.bind_paths(items, made))
+    prompts = R.rule_prompts(routed)
+    filled = F.create_map(F.lit("a"), F.get_json_object("input", "$.question"), F.lit("b"), F.lit(None).cast("string"))
+    want = "\n".join(["USER: %s"] * 5)
+    texts = [render_mustache(F.lit(c), filled) for c in contents if c is not None]
+    assert prompts.count() > 0 and prompts.where(F.col("prompt") != F.format_string(want, *texts)).isEmpty()
+    plan = prompts.select("trace_id", "prompt")._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan.split("Join")[0]
+
+
 def test_templates(spark):
     df = spark.createDataFrame([("{{ a }}-{{b}}-{{c}}", "x{y", None)], "t string, a string, b string")
     values = {"a": F.col("a"), "b": F.col("b")}
