@@ -10,6 +10,7 @@ from tracelake import schemas
 from tracelake.operators import rules as R
 from tracelake.operators.metrics import MetricSpec
 from tracelake.operators.retention import expand_ttl_rules
+from tracelake.operators import threads
 from tracelake.operators.threads import judge_sessions, session_parts, thread_scores
 from tracelake.sources import writers as W
 from tracelake.streaming import arrivals as A
@@ -192,6 +193,21 @@ def test_a_judge_sees_the_whole_conversation_in_parts(spark, count_turns):
     assert judge_sessions(sessions.limit(0), traces, rules, count_turns).count() == 0
 
 
+def test_only_sessions_of_several_parts_are_numbered(spark, count_turns, monkeypatch):
+    numbered = []
+    total = threads.ordered_total
+    monkeypatch.setattr(threads, "ordered_total", lambda turns, *a, **k: numbered.append(turns.count()) or total(turns, *a, **k))
+    traces, rules = talk(spark), spark.createDataFrame([judge_rule()], schemas.RULE)
+    whole = thread_scores(traces, rules, count_turns)
+    assert rows(whole, "thread_id", "first", "value") == [("long", at(0), 7.0), ("long", at(1430), 2.0), ("short", at(0), None)] and numbered == []
+    thread_scores(traces, rules, count_turns, size=3)
+    assert numbered == [7]  # the session of seven traces; the others are one part each
+    fewer = spark.createDataFrame([("1", "long", at(0), at(6), 2)], "project_id string, thread_id string, first timestamp, last timestamp, traces long")
+    parts = session_parts(fewer, traces, size=3)  # the table holds more than were counted
+    assert rows(parts, "part", "turns") == [(0, 3), (1, 3), (2, 1)]
+    assert "\n".join(r.conversation for r in parts.orderBy("part").collect()) == "\n".join(f"USER: u{i}\nASSISTANT: a{i}" for i in range(7))
+
+
 def test_closed_sessions_of_a_stream_are_judged_like_stored_ones(spark, feed, count_turns):
     rules = spark.createDataFrame([judge_rule()], schemas.RULE)
     clock = [("c", "9", "clock", at(9000), "u", "a")]
