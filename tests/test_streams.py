@@ -2,6 +2,7 @@
 
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tracelake.operators.threads import judge_sessions, session_parts, thread_sc
 from tracelake.sources import writers as W
 from tracelake.streaming import arrivals as A
 from tracelake.streaming import late_scores as L
+from tracelake.streaming import stitching
 from tracelake.streaming.stitching import stitch_stream
 
 START = datetime(2026, 7, 1)
@@ -193,6 +195,30 @@ def test_a_judge_sees_the_whole_conversation_in_parts(spark, count_turns):
     assert judge_sessions(sessions.limit(0), traces, rules, count_turns).count() == 0
 
 
+def test_one_hot_session_is_spread_and_its_waiting_spans_are_chunks(spark, feed, monkeypatch):
+    monkeypatch.setattr(stitching, "CHUNK", 7)  # several entries a share in the driver's own helpers
+    spans = [(None, f"s{i}", None, "hot", at(i % 8)) for i in range(400)]
+    schema = "trace_id string, span_id string, parent_span_id string, session_id string, start_time timestamp"
+    sent = "session_id string, trace_id string, dispatch_span_id string, dispatch_time timestamp"
+
+    def run() -> list:
+        stitched = stitch_stream(feed.stream("spans", schema), feed.stream("sent", sent), "1 hour", "10 minutes", "1 minute")
+        return rows(feed.run(stitched), "span_id", "trace_id", "parent_span_id")
+
+    feed.add("sent", [("else", "t", "d", at(0))], sent)
+    feed.add("spans", spans, schema)
+    assert run() == []
+    feed.add("sent", [("hot", f"t{i}", "d", at(2 + i)) for i in range(30)], sent)
+    want = {(f"s{i}", "t0", "d") for i in range(400) if i % 8 >= 1}
+    assert set(run()) == want
+    feed.add("sent", [("else", "t", "d", at(300))], sent)
+    assert set(run()) == want | {(f"s{i}", None, None) for i in range(400) if i % 8 < 1}
+    entries = stitching._chunks(np.array([f"s{i}" for i in range(20)], dtype=object), np.arange(20)[::-1])
+    assert [ms for _, ms in entries] == [0, 7, 14] and sum(len(stitching._opened(e)[0]) for e in entries) == 20
+    plan = stitch_stream(feed.stream("spans", schema), feed.stream("sent", sent))._jdf.queryExecution().analyzed().toString()
+    assert "__salt" in plan
+
+
 def test_only_sessions_of_several_parts_are_numbered(spark, count_turns, monkeypatch):
     numbered = []
     total = threads.ordered_total
